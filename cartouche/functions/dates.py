@@ -59,8 +59,13 @@ def parse_with(s: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*branches)
 
 
+def parse_clean_date(s: Column, formats: Sequence[str] | None = None) -> Column:
+    """Date of text that is clean already."""
+    return parse_with(s, formats or DATE_FORMATS)
+
+
 def parse_flexible_date(c: Column, formats: Sequence[str] | None = None) -> Column:
-    return parse_with(clean_text(c), formats or DATE_FORMATS)
+    return parse_clean_date(clean_text(c), formats)
 
 
 def parse_legacy_date(c: Column) -> Column:

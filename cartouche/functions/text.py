@@ -73,23 +73,10 @@ def extract_numbers(c: Column, include_decimals: bool = True) -> Column:
 
 
 def clean_phone(c: Column) -> Column:
+    """Ten digits as (AAA) EEE-NNNN, eleven with a leading 1 as 1-(AAA) EEE-NNNN, else the bare digits."""
     digits = F.regexp_replace(F.coalesce(text(c), F.lit("")), r"[^0-9]", "")
-
-    def shape(start: int, prefix: str) -> Column:
-        return F.concat(
-            F.lit(prefix + "("),
-            F.substring(digits, start, 3),
-            F.lit(") "),
-            F.substring(digits, start + 3, 3),
-            F.lit("-"),
-            F.substring(digits, start + 6, 4),
-        )
-
-    return (
-        F.when(F.length(digits) == 10, shape(1, ""))
-        .when((F.length(digits) == 11) & digits.startswith("1"), shape(2, "1-"))
-        .otherwise(digits)
-    )
+    local = F.regexp_replace(digits, "^([0-9]{3})([0-9]{3})([0-9]{4})$", "($1) $2-$3")
+    return F.regexp_replace(local, "^1([0-9]{3})([0-9]{3})([0-9]{4})$", "1-($1) $2-$3")
 
 
 def normalize_address(c: Column) -> Column:

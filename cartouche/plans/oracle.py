@@ -443,8 +443,8 @@ plain("text_numbers", r"""
 SELECT doc_id, array_to_string(regexp_extract_all(text, '[0-9]+\.?[0-9]*'), ',') AS numbers, CAST(len(regexp_extract_all(text, '[0-9]+')) AS BIGINT) AS whole_numbers FROM documents""")
 plain("email_zip", rf"""
 SELECT doc_id, NULLIF(regexp_extract(text, '(?:^|[^\pL\pM\pN_])([0-9]{{5}}(?:-[0-9]{{4}})?)(?:$|[^\pL\pM\pN_])', 1), '') AS zip,
-  CAST(len(w) AS BIGINT) AS words, CAST(len(list_filter(w, x -> regexp_matches(x, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}$'))) AS BIGINT) AS emails
-FROM (SELECT doc_id, text, list_filter(string_split({squeeze('text')}, ' '), x -> contains(x, '@')) AS w FROM documents)""")
+  CAST(len(w) AS BIGINT) AS words, CAST(len([x FOR x IN w IF regexp_matches(x, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}$')]) AS BIGINT) AS emails
+FROM (SELECT doc_id, text, [x FOR x IN string_split({squeeze('text')}, ' ') IF contains(x, '@')] AS w FROM documents)""")
 plain("url_check", r"""
 SELECT page_id, regexp_matches(url, '(?i)^https?://[^\s/$.?#].[^\s]*$') AS is_url,
   regexp_matches(CASE WHEN contains(url, '#') THEN replace(url, '#', ' ') ELSE upper(url) END, '(?i)^https?://[^\s/$.?#].[^\s]*$') AS bent_is_url FROM pages""")
@@ -453,7 +453,7 @@ SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN printf('1-(%03d) 555-%04d', c_cus
   WHEN c_acctbal < 5000 THEN printf('(%03d) 555-%04d', c_custkey % 900 + 100, c_custkey % 10000) ELSE CAST(c_custkey AS VARCHAR) END AS phone FROM customer""")
 plain("address_norm", """
 SELECT c_custkey, upper(c_custkey || ' N ' || c_mktsegment || ' AVE, LOWER EASTERN RD ' || c_name || ' PL DR') AS address,
-  upper(c_name || '|' || c_custkey || ' north <b>' || c_mktsegment || '</b> Avenue, Lower  Eastern Road' || chr(10) || c_name || ' place Drive') AS match_key FROM customer""")
+  upper(c_name || '|' || c_custkey || ' north <b>' || c_mktsegment || '</b> Avenue,' || chr(160) || 'Lower  Eastern Road' || chr(10) || c_name || ' place Drive') AS match_key FROM customer""")
 plain("state_norm", """
 SELECT c_custkey, CASE n_nationkey % 5 WHEN 0 THEN 'CA' WHEN 1 THEN 'NY' WHEN 2 THEN 'TX' WHEN 3 THEN 'FL' ELSE 'X1' END AS state
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
@@ -552,7 +552,7 @@ SELECT *, round(non_empty_count * 100.0::DOUBLE / total_records, 6) AS coverage_
 
 
 def issues(*pairs: tuple[str, str]) -> str:
-    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} THEN {msg} END" for c, msg in pairs) + "], x -> x IS NOT NULL), '; ')"
+    return "concat_ws('; ', " + ", ".join(f"CASE WHEN {c} THEN {msg} END" for c, msg in pairs) + ")"
 
 
 def p1(x: str) -> str:

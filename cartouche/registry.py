@@ -12,7 +12,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartouche.constants import CERTIFICATE, DETAIL
 from cartouche.functions import classify, dates, ids, numbers, text
@@ -25,12 +24,22 @@ class TransformRegistry:
 
     def __init__(self) -> None:
         self._columns: dict[str, Callable[..., Column]] = {}
+        self._prepare: dict[str, tuple[str, Callable[..., Column]]] = {}
         self._tables: dict[str, Callable[..., DataFrame]] = {}
 
     def register(self, name: str, fn: Callable[..., Column]) -> None:
         """``fn(column, **kwargs) -> Column``; a pandas UDF wrapped in such a function fits too."""
         self._columns[name] = fn
 
+    def register_prepared(self, name: str, first: str, fn: Callable[..., Column]) -> None:
+        """A transformation that is ``fn`` after the transformation ``first``.
+
+        A rule set runs the two as separate steps, so ``fn`` may refer to its input
+        many times without repeating ``first`` in the plan.
+        """
+        self._prepare[name] = (first, fn)
+        self.register(name, lambda column, **options: fn(self.apply(first, column), **options))
+
     def register_table(self, name: str, fn: Callable[..., DataFrame]) -> None:
         """``fn(frame, field, **kwargs) -> DataFrame`` for transformations that need a join."""
         self._tables[name] = fn
@@ -48,21 +57,35 @@ class TransformRegistry:
             raise KeyError(f"Unknown table transformation: {name}")
         return self._tables[name](frame, field, **kwargs)
 
+    def _steps(self, rules: Sequence[Mapping[str, Any]]) -> list[Callable[[Column], Column]]:
+        """Single steps of a rule list; a cleaner straight after itself is dropped."""
+        named: list[tuple[str, dict[str, Any], Callable[..., Column]]] = []
+        for rule in rules:
+            name, options = rule["transform"], {k: v for k, v in rule.items() if k != "transform"}
+            if name not in self._columns:
+                raise KeyError(f"Unknown transformation: {name}")
+            if name in self._prepare:
+                first, fn = self._prepare[name]
+                named += [(first, {}, self._columns[first]), (name, options, fn)]
+            else:
+                named.append((name, options, self._columns[name]))
+        kept = [s for i, s in enumerate(named) if not (i and s[:2] == named[i - 1][:2] and s[0] in IDEMPOTENT)]
+        return [lambda c, fn=fn, options=options: fn(c, **options) for _, options, fn in kept]
+
     def apply_rules(self, frame: DataFrame, rules: Rules) -> DataFrame:
-        """Rewrite the fields that exist; fields the frame lacks are skipped."""
-        compiled = {}
-        for field in [f for f in rules if f in frame.columns]:
-            column = F.col(field)
-            for rule in rules[field]:
-                options = {k: v for k, v in rule.items() if k != "transform"}
-                column = self.apply(rule["transform"], column, **options)
-            compiled[field] = column
-        return frame.withColumns(compiled)
+        """Rewrite the fields that exist; fields the frame lacks are skipped.
 
+        Runs step by step over all fields at once (the first rule of every field,
+        then the second, ...): each step is a projection over plain columns, which
+        Spark keeps apart where merging would repeat work.
+        """
+        steps = {f: self._steps(rules[f]) for f in rules if f in frame.columns}
+        for depth in range(max(map(len, steps.values()), default=0)):
+            frame = frame.withColumns({f: s[depth](F.col(f)) for f, s in steps.items() if depth < len(s)})
+        return frame
 
-def _typed_date(c: Column, **options: Any) -> Column:
-    return dates.parse_flexible_date(c, **options)
 
+IDEMPOTENT = {"clean_text", "normalize_whitespace"}
 
 registry = TransformRegistry()
 for _name, _fn in {
@@ -70,8 +93,6 @@ for _name, _fn in {
     "normalize_whitespace": text.normalize_whitespace,
     "extract_numbers": text.extract_numbers,
     "clean_phone": text.clean_phone,
-    "parse_date": _typed_date,
-    "format_date_iso": dates.format_date_iso,
     "parse_decimal": numbers.parse_decimal,
     "parse_percentage": numbers.parse_percentage,
     "clean_currency": numbers.clean_currency,
@@ -86,6 +107,8 @@ for _name, _fn in {
     "standardize_container_size": numbers.standardize_container_size,
 }.items():
     registry.register(_name, _fn)
+registry.register_prepared("parse_date", "clean_text", dates.parse_clean_date)
+registry.register_prepared("format_date_iso", "parse_date", dates.iso)
 
 
 def _chain(*names: str) -> list[dict[str, Any]]:
@@ -164,8 +187,3 @@ def legacy_classification(frame: DataFrame) -> DataFrame:
     return frame.withColumns(
         {"beverage_type": classify.beverage_type(F.concat_ws(" ", *parts)), "filing_id_valid": valid}
     )
-
-
-def date_or_text(frame: DataFrame, field: str) -> Column:
-    """Date of a field whatever its type."""
-    return dates.as_date(F.col(field), frame.schema[field].dataType if field in frame.columns else T.StringType())

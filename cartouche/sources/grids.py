@@ -43,15 +43,15 @@ def candidate_ids(
                              F.sequence(F.col("lo"), F.col("hi"), F.lit(1000))).alias("at"))
     rows = blocks.select(
         "date", "receipt_method",
-        F.explode(F.sequence(F.col("at"), F.least(F.col("at") + 999, F.col("hi")))).cast("int").alias("sequence"),
-    )
+        F.explode(F.sequence(F.col("at"), F.least(F.col("at") + 999, F.col("hi")))).alias("sequence"),
+    ).withColumn("sequence", F.col("sequence").cast("int"))
     fid = build_filing_id(F.year("date"), F.dayofyear("date"), F.col("receipt_method"), F.col("sequence"))
     return rows.withColumn("filing_id", fid)
 
 
 def split_list(c: Column) -> Column:
     """Trimmed items of a comma list."""
-    return F.transform(F.split(c, ","), F.trim)
+    return F.transform(F.split(c, ","), lambda item: F.trim(item))
 
 
 def work_grid(days: DataFrame, methods: str = "001,002,003,000", views: str = ",".join(VIEW_ORDER)) -> DataFrame:

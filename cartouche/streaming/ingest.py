@@ -51,20 +51,16 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
+        self._list(self.spark.range(0))  # the list exists from the start, with nothing in it
 
-    def _published(self) -> DataFrame:
-        return self.spark.read.schema("version BIGINT").json(f"{self.root}/published")
+    def _list(self, versions: DataFrame) -> None:
+        versions.select(F.col("id").alias("version")).write.mode("append").json(f"{self.root}/published")
 
     def newest(self, below: int | None = None) -> int | None:
-        try:
-            rows = self._published()
-            if below is not None:
-                rows = rows.where(F.col("version") < below)
-            return rows.agg(F.max("version")).first()[0]
-        except Exception as error:  # nothing published yet
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
+        published = self.spark.read.schema("version BIGINT").json(f"{self.root}/published")
+        if below is not None:
+            published = published.where(F.col("version") < below)
+        return published.agg(F.max("version")).first()[0]
 
     def read(self, below: int | None = None) -> DataFrame | None:
         version = self.newest(below)
@@ -72,9 +68,7 @@ class VersionedTable:
 
     def publish(self, frame: DataFrame, version: int) -> None:
         frame.write.mode("overwrite").parquet(f"{self.root}/data/version={version}")
-        self.spark.range(version, version + 1).select(F.col("id").alias("version")).write.mode("append").json(
-            f"{self.root}/published"
-        )
+        self._list(self.spark.range(version, version + 1))
 
 
 def upsert_batches(
