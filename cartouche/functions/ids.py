@@ -17,8 +17,13 @@ def is_filing_id(c: Column) -> Column:
 
 
 def build_filing_id(year: Column, day: Column, method: Column, sequence: Column) -> Column:
-    return F.format_string("%02d%03d%03d%06d", (year % 100).cast("int"), day.cast("int"), method.cast("int"),
-                           sequence.cast("int"))
+    """Zero-padded parts, written as one number where each part fits its width; a wider part is not cut."""
+    yy, day, method, sequence = (c.cast("bigint") for c in (year % 100, day, method, sequence))
+    fits = day.between(0, 999) & method.between(0, 999) & sequence.between(0, 999_999)
+    number = ((yy * 1000 + day) * 1000 + method) * 1_000_000 + sequence
+    return F.when(fits, F.lpad(number.cast("string"), 14, "0")).otherwise(
+        F.format_string("%02d%03d%03d%06d", yy, day, method, sequence)
+    )
 
 
 def parse_filing_id(c: Column) -> Column:

@@ -41,7 +41,8 @@ def strip(c: Column) -> Column:
 
 
 def squeeze(c: Column) -> Column:
-    return strip(F.regexp_replace(text(c), r"(?U)\s+", " "))
+    """Runs of whitespace become one blank, none at the ends. Single blanks are left alone, so most text has no match."""
+    return F.trim(F.regexp_replace(text(c), r"(?U)\s\s+|[\s&&[^ ]]", " "))
 
 
 def strip_tags(c: Column, filler: str = "") -> Column:
@@ -64,7 +65,7 @@ def normalize_whitespace(c: Column) -> Column:
 
 def page_text(c: Column) -> Column:
     """Cleaner used while reading pages: squeeze, then the literal entity becomes a blank."""
-    return F.regexp_replace(squeeze(F.coalesce(text(c), F.lit(""))), "&nbsp;", " ")
+    return F.replace(squeeze(F.coalesce(text(c), F.lit(""))), F.lit("&nbsp;"), F.lit(" "))
 
 
 def extract_numbers(c: Column, include_decimals: bool = True) -> Column:
@@ -109,8 +110,8 @@ def match_key(*parts: Column) -> Column:
 
 
 def contains_any(c: Column, words: list[str]) -> Column:
-    """True when any literal word occurs; false for null. One regex pass for all words."""
-    return F.coalesce(c.rlike("|".join(words)), F.lit(False))
+    """True when any literal word occurs; false for null. Plain substring search, no regex."""
+    return F.coalesce(reduce(lambda a, b: a | b, [c.contains(w) for w in words]), F.lit(False))
 
 
 def is_email(c: Column) -> Column:

@@ -152,9 +152,8 @@ def dataset_quality(compliance: DataFrame, validation: DataFrame) -> DataFrame:
         F.avg(ratio(F.col("non_null_count"), F.col("non_null_count") + F.col("null_count"))).alias("field_completeness")
     )
     records = compliance.select(ratio(F.col("valid_records"), F.col("total_records")).alias("compliance_rate"))
-    # one row each: joined on a constant
-    joined = records.withColumn("one", F.lit(1)).join(fields.withColumn("one", F.lit(1)), "one").drop("one")
-    return joined.withColumn("data_quality_score", (F.col("compliance_rate") + F.col("field_completeness")) / 2)
+    both = records.withColumn("field_completeness", fields.scalar())
+    return both.withColumn("data_quality_score", (F.col("compliance_rate") + F.col("field_completeness")) / 2)
 
 
 def histogram(frame: DataFrame, column: str) -> DataFrame:
@@ -184,9 +183,9 @@ def category_counts(products: DataFrame) -> DataFrame:
 
 def consolidation_ratio(before: DataFrame, after: DataFrame) -> DataFrame:
     """Kept rows over landed rows."""
-    a = before.agg(F.count("*").alias("landed")).withColumn("one", F.lit(1))
-    b = after.agg(F.count("*").alias("kept")).withColumn("one", F.lit(1))
-    return a.join(b, "one").drop("one").withColumn("ratio", ratio(F.col("kept"), F.col("landed")))
+    kept = after.agg(F.count("*").alias("kept")).scalar()
+    counted = before.agg(F.count("*").alias("landed")).withColumn("kept", kept)
+    return counted.withColumn("ratio", ratio(F.col("kept"), F.col("landed")))
 
 
 def export_summary(tables: dict[str, DataFrame]) -> DataFrame:

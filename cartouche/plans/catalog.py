@@ -34,6 +34,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def modelled(fn: Callable[[Filings], DataFrame]) -> Query:
+    """A query over dimensions and facts together: the structured table is written once and read by each."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(plan_of(spark, sf_dir).stored())
+
+    QUERIES[fn.__name__] = run
+    return run
+
+
 def rounded(c: Column | str, places: int = 6) -> Column:
     return F.round(F.col(c).cast("double") if isinstance(c, str) else c.cast("double"), places)
 
@@ -296,12 +306,12 @@ def product_type_dim(f: Filings) -> DataFrame:
     )
 
 
-@filings
+@modelled
 def fact_products(f: Filings) -> DataFrame:
     return f.product_facts
 
 
-@filings
+@modelled
 def fact_certificates(f: Filings) -> DataFrame:
     return f.certificate_facts
 
@@ -319,7 +329,7 @@ def fact_certificates_legacy(f: Filings) -> DataFrame:
     return facts.legacy_certificate_facts(f.flat).drop("authorized_signature_url")
 
 
-@filings
+@modelled
 def star_rollup(f: Filings) -> DataFrame:
     return facts.star(f.product_facts, f.companies, f.products, f.dates).groupBy("year", "season", "brand_name").agg(
         F.count("*").alias("filings"),
@@ -328,7 +338,7 @@ def star_rollup(f: Filings) -> DataFrame:
     )
 
 
-@filings
+@modelled
 def fact_dates(f: Filings) -> DataFrame:
     roles = {"filing_date_id": "filed", "approval_date_id": "approved", "expiration_date_id": "expires"}
     joined = lookup.with_dates(f.product_facts, f.dates, roles, ["year", "quarter_name"])
@@ -525,8 +535,9 @@ def rule_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- lenient casts, compliance ---------------------------------------------------
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id BIGINT, user_id STRING, event_type BOOLEAN, value BIGINT, props BIGINT, day DATE, stamp TIMESTAMP, extra STRING"
+schemas.register(
+    "loose_event",
+    "event_id BIGINT, user_id STRING, event_type BOOLEAN, value BIGINT, props BIGINT, day DATE, stamp TIMESTAMP, extra STRING",
 )
 
 
@@ -544,7 +555,7 @@ def _loose_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = structure.project_to_schema(_loose_events(spark, sf_dir), EVENT_SCHEMA)
+    rows = structure.project_to_schema(_loose_events(spark, sf_dir), schemas.get("loose_event"))
     return rows.withColumn("stamp", F.date_format("stamp", "yyyy-MM-dd HH:mm:ss")).withColumn(
         "fields", clean.field_count(rows).cast("bigint")
     )
@@ -553,8 +564,8 @@ def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def schema_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _loose_events(spark, sf_dir)
-    report = stats.schema_compliance(rows.drop("stamp"), EVENT_SCHEMA).unionByName(
-        stats.schema_compliance(rows.withColumn("extra", F.lit("x")).withColumn("more", F.lit(1)), EVENT_SCHEMA)
+    report = stats.schema_compliance(rows.drop("stamp"), schemas.get("loose_event")).unionByName(
+        stats.schema_compliance(rows.withColumn("extra", F.lit("x")).withColumn("more", F.lit(1)), schemas.get("loose_event"))
     )
     return report.withColumns({
         "missing_fields": F.array_join("missing_fields", ","), "extra_fields": F.array_join("extra_fields", ","),
@@ -563,13 +574,13 @@ def schema_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def field_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.field_validation(_loose_events(spark, sf_dir), EVENT_SCHEMA)
+    return stats.field_validation(_loose_events(spark, sf_dir), schemas.get("loose_event"))
 
 
 @query
 def dataset_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _loose_events(spark, sf_dir).withColumn("extra", F.lit("x"))
-    out = stats.dataset_quality(stats.schema_compliance(rows, EVENT_SCHEMA), stats.field_validation(rows, EVENT_SCHEMA))
+    out = stats.dataset_quality(stats.schema_compliance(rows, schemas.get("loose_event")), stats.field_validation(rows, schemas.get("loose_event")))
     return out.select(*[rounded(c).alias(c) for c in out.columns])
 
 
@@ -641,7 +652,7 @@ def structuring_stats(f: Filings) -> DataFrame:
     return out.withColumn("average_quality_score", rounded("average_quality_score"))
 
 
-@filings
+@modelled
 def fact_stats(f: Filings) -> DataFrame:
     p = stats.product_fact_stats(f.product_facts).select(
         F.lit("products").alias("fact"), "fact_records_created", "missing_company_keys",
@@ -654,7 +665,7 @@ def fact_stats(f: Filings) -> DataFrame:
     return p.unionByName(c)
 
 
-@filings
+@modelled
 def export_summary(f: Filings) -> DataFrame:
     return stats.export_summary({
         "dim_dates": f.dates, "dim_companies": f.companies, "dim_products": f.products,
@@ -710,7 +721,7 @@ def check_validation(f: Filings) -> DataFrame:
 @query
 def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _loose_events(spark, sf_dir).withColumn("extra", F.lit("x"))
-    return _flat_check(checks.schema_compliance(rows, EVENT_SCHEMA))
+    return _flat_check(checks.schema_compliance(rows, schemas.get("loose_event")))
 
 
 @filings
@@ -729,7 +740,7 @@ def reference_sample(f: Filings) -> DataFrame:
     return checks.reference_samples(f.reference, "origin_code")
 
 
-@filings
+@modelled
 def check_facts(f: Filings) -> DataFrame:
     return _flat_check(checks.fact_integrity(f.product_facts))
 
@@ -739,7 +750,7 @@ def check_dimensions(f: Filings) -> DataFrame:
     return _flat_check(checks.dimension_quality(f.companies))
 
 
-@filings
+@modelled
 def check_certificates(f: Filings) -> DataFrame:
     return _flat_check(checks.certificate_compliance(f.certificate_facts))
 
@@ -749,12 +760,12 @@ def top_companies(f: Filings) -> DataFrame:
     return checks.top_companies(f.companies)
 
 
-@filings
+@modelled
 def certificate_types(f: Filings) -> DataFrame:
     return checks.certificate_types(f.certificate_facts)
 
 
-@filings
+@modelled
 def most_common_type(f: Filings) -> DataFrame:
     return checks.most_common_type(f.certificate_facts)
 
@@ -882,14 +893,14 @@ def _two_days(f: Filings) -> tuple[DataFrame, DataFrame]:
     )
 
 
-@filings
+@modelled
 def upsert_dims(f: Filings) -> DataFrame:
     old, new = _two_days(f)
     out = upsert.upsert_table(old, new, "dim_companies")
     return out.withColumn("data_quality_score", rounded("data_quality_score"))
 
 
-@filings
+@modelled
 def accumulate_dims(f: Filings) -> DataFrame:
     old, new = _two_days(f)
     columns = ["company_id", "first_seen_date", "last_seen_date", "total_applications", "business_name"]

@@ -17,43 +17,46 @@ from cartouche.constants import CERTIFICATE, DETAIL
 from cartouche.functions.ids import is_filing_id
 from cartouche.operators import clean, consolidate, dims, extract, facts, lookup, merge, ordered, structure
 from cartouche.sources import grids, tables
+from cartouche.sources.scratch import through_storage
 
 
-def clean_views(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Extracted rows of mixed views -> cleaned detail, cleaned certificate, rejects."""
+def split_identified(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Extracted rows of mixed views -> detail rows, certificate rows, rejects."""
     known, rejects = clean.identified(rows)
     detail, certificate, unknown = clean.split_views(known)
-    return (
-        clean.apply_view_rules(detail, DETAIL),
-        clean.apply_view_rules(certificate, CERTIFICATE),
-        rejects.unionByName(unknown),
-    )
+    return detail, certificate, rejects.unionByName(unknown)
 
 
-def merged_filings(detail: DataFrame, certificate: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """Last row per (id, view), then the two views paired."""
-    return merge.merge_views(ordered.latest_per_view(detail, order), ordered.latest_per_view(certificate, order))
+def cleaned(rows: DataFrame, view: str, order: list[Column] | None = None) -> DataFrame:
+    """Last row per id of one view, cleaned.
+
+    Cleaning is row by row, so picking first gives the same rows and spares the
+    ones that are replaced.
+    """
+    return clean.apply_view_rules(ordered.latest_per_view(clean.identified(rows)[0], order), view)
+
+
+# what a detail page does not show; the columns stay so that later steps find them
+ABSENT_FROM_PAGES = {
+    "filing_date": "date",
+    "expiration_date": "date",
+    "product_description": "string",
+    "alcohol_content": "decimal(18,4)",
+    "net_contents": "string",
+    "applicant_email": "string",
+}
 
 
 def from_pages(pages: DataFrame) -> DataFrame:
-    """Landed pages -> structured filings."""
+    """Landed pages (a stored table) -> structured filings."""
     good, _ = clean.readable(clean.drop_error_pages(clean.fetched_ok(pages)))
     detail_page, certificate_page, _ = clean.split_views(good)
-    detail = clean.apply_view_rules(clean.identified(extract.detail_fields(detail_page))[0], DETAIL)
+    detail = cleaned(extract.detail_fields(detail_page), DETAIL)
     detail = detail.withColumns({
-        c: F.lit(None).cast(t)
-        for c, t in {
-            "filing_date": "date",
-            "expiration_date": "date",
-            "product_description": "string",
-            "alcohol_content": "decimal(18,4)",
-            "net_contents": "string",
-            "applicant_email": "string",
-        }.items()
-        if c not in detail.columns
+        c: F.lit(None).cast(t) for c, t in ABSENT_FROM_PAGES.items() if c not in detail.columns
     })
-    certificate = clean.apply_view_rules(clean.identified(extract.certificate_fields(certificate_page))[0], CERTIFICATE)
-    return structure.structure(merged_filings(detail, certificate))
+    certificate = cleaned(extract.certificate_fields(certificate_page), CERTIFICATE)
+    return structure.structure(merge.merge_views(detail, certificate))
 
 
 @dataclass(frozen=True)
@@ -62,24 +65,28 @@ class Filings:
 
     spark: SparkSession
     sf_dir: str
+    written: DataFrame | None = None
 
     @cached_property
     def detail(self) -> DataFrame:
         rows = clean.fetched_ok(tables.detail_raw(self.spark, self.sf_dir)).drop("status_code")
-        return clean.apply_view_rules(clean.identified(rows)[0], DETAIL)
+        return cleaned(rows, DETAIL)
 
     @cached_property
     def certificate(self) -> DataFrame:
-        rows = tables.certificate_raw(self.spark, self.sf_dir)
-        return clean.apply_view_rules(clean.identified(rows)[0], CERTIFICATE)
+        return cleaned(tables.certificate_raw(self.spark, self.sf_dir), CERTIFICATE)
 
     @cached_property
     def merged(self) -> DataFrame:
-        return merged_filings(self.detail, self.certificate)
+        return merge.merge_views(self.detail, self.certificate)
 
     @cached_property
     def structured(self) -> DataFrame:
-        return structure.structure(self.merged)
+        return structure.structure(self.merged) if self.written is None else self.written
+
+    def stored(self) -> Filings:
+        """The same plan with the structured table written first, for results that read it several times."""
+        return Filings(self.spark, self.sf_dir, through_storage(self.structured, "structured"))
 
     @cached_property
     def companies(self) -> DataFrame:
@@ -117,4 +124,5 @@ class Filings:
         detail = lookup.validate_product_class(detail, "class_type_code", self.reference, output="product_class_validation")
         detail = lookup.validate_origin_code(detail, "origin_code", self.reference, output="origin_code_validation")
         certificate = self.certificate.withColumn("filing_id_valid", is_filing_id(F.col("filing_id")))
-        return consolidate.consolidate(detail, certificate, [F.col("sequence").desc()])
+        flat = consolidate.merge_flat(consolidate.flat_detail(detail), consolidate.flat_certificate(certificate))
+        return consolidate.with_tier(flat)

@@ -7,15 +7,19 @@ from pyspark.sql import types as T
 
 class SchemaRegistry:
     def __init__(self) -> None:
-        self._schemas: dict[str, T.StructType] = {}
+        self._schemas: dict[str, T.StructType | str] = {}
 
     def register(self, name: str, schema: T.StructType | str) -> None:
-        self._schemas[name] = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        """A schema or its DDL text; text is parsed on first use, when a session is there."""
+        self._schemas[name] = schema
 
     def get(self, name: str) -> T.StructType:
         if name not in self._schemas:
             raise KeyError(f"Unknown schema: {name}")
-        return self._schemas[name]
+        schema = self._schemas[name]
+        if isinstance(schema, str):
+            schema = self._schemas[name] = T.StructType.fromDDL(schema)
+        return schema
 
     def available(self) -> list[str]:
         return sorted(self._schemas)

@@ -40,9 +40,11 @@ def choose(c: Column, options: dict, other: str | None = None) -> Column:
 
 def id_parts(key: Column) -> dict[str, Column]:
     """Spread a whole number over the parts of a filing id; different numbers give different ids."""
-    method, rest = key % 4, F.floor(key / 4)
-    day, rest = rest % 366 + 1, F.floor(rest / 366)
-    return {"year": rest % 100, "day": day, "method": method, "sequence": F.floor(rest / 100) + 1}
+
+    def over(n: int) -> Column:
+        return ((key - key % n) / n).cast("bigint")
+
+    return {"year": over(4 * 366) % 100, "day": over(4) % 366 + 1, "method": key % 4, "sequence": over(4 * 366 * 100) + 1}
 
 
 def filing_id(key: Column) -> Column:
@@ -80,7 +82,9 @@ def detail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customer = table(spark, sf_dir, "customer").join(F.broadcast(place), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    orders = table(spark, sf_dir, "orders")
+    # the exchange a sort-merge join with the lines needs anyway, also taken when the lines are broadcast:
+    # the text columns below are then built by all tasks, however few files hold the orders
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
     lines = order_lines(spark, sf_dir).select("l_orderkey", "first_part", "first_ship", "last_ship")
     part = table(spark, sf_dir, "part")
     joined = (
@@ -179,8 +183,7 @@ def reference_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("origin_code").alias("kind"),
     )
     stamp = table(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("date").cast("timestamp").alias("extracted_at"))
-    rows = classes.unionByName(origins).withColumn("one", F.lit(1))
-    return rows.join(F.broadcast(stamp.withColumn("one", F.lit(1))), "one").drop("one")
+    return classes.unionByName(origins).withColumn("extracted_at", stamp.scalar())
 
 
 # --- landed pages rendered from the same rows ----------------------------------

@@ -76,11 +76,5 @@ def alert_report(alerts: DataFrame) -> DataFrame:
 
 def closed_windows(windows: DataFrame, events: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
     """Batch twin of append mode: only windows that end at or before max(ts) - lateness."""
-    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {lateness}")).alias("mark")).withColumn("one", F.lit(1))
-    ended = F.col("window_start") + F.expr(f"INTERVAL {window}")
-    return (
-        windows.withColumn("one", F.lit(1))
-        .join(F.broadcast(mark), "one")  # one row
-        .where(ended <= F.col("mark"))
-        .drop("one", "mark")
-    )
+    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {lateness}")).alias("mark"))
+    return windows.where(F.col("window_start") + F.expr(f"INTERVAL {window}") <= mark.scalar())
