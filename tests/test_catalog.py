@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cartouche.plans.catalog import QUERIES
+from cartouche.plans.oracle import ORACLES
 from compare import connect, difference
 
 
@@ -12,12 +14,12 @@ def connection(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, connection, sf_dir, name):
-    assert difference(spark, connection, queries()[name], oracle_sql()[name], sf_dir) is None
+    assert difference(spark, connection, QUERIES[name], ORACLES[name], sf_dir) is None
 
 
 def test_entry(spark):
