@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartouche.llm.katz import katz_scores, remainder
+from cartouche.llm.shipping import ship
 from cartouche.llm.signature_tree import jaccard_classes
 from cartouche.llm.substrings import remove_repeats
+from cartouche.llm.toxicity import score_toxicity, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -29,8 +36,23 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by models of the labelled rows outside the held-out fifth."""
+    docs = documents(spark, sf_dir)
+    held_out = remainder() == 0
+    model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after windows of 50 words that an earlier document also holds are cut."""
     return remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff log-probability of every text, learned from four fifths of them."""
+    return katz_scores(documents(spark, sf_dir), remainder() != 1, remainder() == 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartouche.llm.shipping import ship
 from cartouche.sources.scratch import fresh_path
 
 STAGES: list = []
@@ -12,6 +13,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name.replace(' ', '-')}")
