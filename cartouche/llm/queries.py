@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartouche.llm.katz import katz_scores, remainder
+from cartouche.llm.packing import pack_documents
+from cartouche.llm.personal import find_personal
+from cartouche.llm.sharding import SHARDS, shard_rows
 from cartouche.llm.shipping import ship
 from cartouche.llm.signature_tree import jaccard_classes
 from cartouche.llm.substrings import remove_repeats
@@ -15,6 +19,7 @@ from cartouche.llm.toxicity import score_toxicity, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
 def query(fn: Query) -> Query:
@@ -36,6 +41,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir))
 
 
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text."""
+    return find_personal(documents(spark, sf_dir)).drop("text")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text by models of the labelled rows outside the held-out fifth."""
@@ -45,6 +56,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of equal row counts, uniformly shuffled."""
+    text = F.coalesce("text", F.lit(""))
+    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return shard_rows(rows, ["doc_id", "text_crc32", "size"], SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after windows of 50 words that an earlier document also holds are cut."""
@@ -56,3 +76,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katz backoff log-probability of every text, learned from four fifths of them."""
     return katz_scores(documents(spark, sf_dir), remainder() != 1, remainder() == 1)
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in sequences of at most 1024."""
+    return pack_documents(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
