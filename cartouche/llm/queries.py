@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartouche.llm.itq import near_duplicates
 from cartouche.llm.katz import katz_scores, remainder
 from cartouche.llm.packing import pack_documents
 from cartouche.llm.personal import find_personal
@@ -15,6 +16,7 @@ from cartouche.llm.sharding import SHARDS, shard_rows
 from cartouche.llm.shipping import ship
 from cartouche.llm.signature_tree import jaccard_classes
 from cartouche.llm.substrings import remove_repeats
+from cartouche.llm.topk import top_k
 from cartouche.llm.toxicity import score_toxicity, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +37,28 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of vectors with a cosine of 0.95 or more."""
+    return near_duplicates(embeddings(spark, sf_dir))
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose five-word shingles have a Jaccard similarity of 0.8 or more."""
     return jaccard_classes(documents(spark, sf_dir))
 
 
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows of highest inner product for every hundredth vector."""
+    return top_k(embeddings(spark, sf_dir))
+
+
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text."""
