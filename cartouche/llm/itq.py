@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartouche.llm.exchange import bucket_count
 from cartouche.llm.graph import components, forest, stored
 from cartouche.llm.vectors import matrix
 
@@ -109,49 +110,57 @@ def table_rows(shared):
     return run
 
 
-def link_bucket(shared, threshold: float):
-    """Links of one pair of chunks of a bucket, of those pairs that no earlier table holds."""
+def link_chunks(x, sub, copies, ids, left, right, slot: int, threshold: float):
+    """Links of two chunks of a bucket, or of one with itself, of those pairs that no earlier table holds."""
+    same = right is left
+    for s in range(0, len(left), BLOCK):
+        i = left[s:s + BLOCK]
+        for t in range(s if same else 0, len(right), BLOCK):
+            j = right[t:t + BLOCK]
+            near = x[i] @ x[j].T >= threshold
+            if same and s == t:
+                near = np.triu(near, 1)
+            p, q = np.nonzero(near)
+            p, q = i[p], j[q]
+            for c in range(slot):
+                if not len(p):
+                    break
+                own = sub[p, c] != sub[q, c]
+                p, q = p[own], q[own]
+            if len(p):
+                who = np.r_[p, q]
+                some, at = np.unique(who, return_inverse=True)
+                yield (*forest(ids[p], ids[q]), ids[some], np.bincount(at, np.r_[copies[q], copies[p]]).astype(np.int64))
+
+
+def link_buckets(shared, threshold: float):
+    """Links of all chunk pairs of a group of rows: a spanning forest and the number of links of each vector."""
 
     def run(table: pa.Table) -> pa.Table:
         learned, bits = shared.value
-        slot, side = table["slot"][0].as_py(), np.asarray(table["side"])
-        none = pa.array([], pa.int64())
-        empty = pa.table({"a": none, "b": none, "n": none})
-        same = table["chunk_a"][0].as_py() == table["chunk_b"][0].as_py()
-        if table.num_rows < 2:
-            return empty
-        ids, copies = np.asarray(table["rep"]), np.asarray(table["copies"])
-        x = unit(vectors_of(table["data"]))
-        sub = substrings(x, learned, bits)[:, :slot]
-        left = np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
-        links = np.zeros(len(ids), np.int64)
-        node, root = [], []
-        for s in range(0, len(left), BLOCK):
-            i = left[s:s + BLOCK]
-            for t in range(s if same else 0, len(right), BLOCK):
-                j = right[t:t + BLOCK]
-                near = x[i] @ x[j].T >= threshold
-                if same and s == t:
-                    near = np.triu(near, 1)
-                p, q = np.nonzero(near)
-                p, q = i[p], j[q]
-                for c in range(slot):
-                    if not len(p):
-                        break
-                    own = sub[p, c] != sub[q, c]
-                    p, q = p[own], q[own]
-                if len(p):
-                    links += np.bincount(p, copies[q], len(ids)).astype(np.int64) + np.bincount(q, copies[p], len(ids)).astype(np.int64)
-                    a, b = forest(ids[p], ids[q])
-                    node.append(a)
-                    root.append(b)
-        if not node:
-            return empty
-        node, root = forest(np.concatenate(node), np.concatenate(root))
-        some = links > 0
+        unit_of = np.stack([np.asarray(table[c]) for c in ("slot", "key", "chunk_a", "chunk_b", "side")], 1)
+        order = np.lexsort(unit_of.T[::-1])
+        unit_of = unit_of[order]
+        ids, copies = np.asarray(table["rep"])[order], np.asarray(table["copies"])[order]
+        x = unit(vectors_of(table["data"]))[order]
+        sub = substrings(x, learned, bits)
+        starts = np.flatnonzero(np.r_[True, (unit_of[1:, :4] != unit_of[:-1, :4]).any(1)])
+        found = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+            if b - a > 1:
+                rows = np.arange(a, b)
+                left = rows[unit_of[a:b, 4] == 0]
+                right = left if unit_of[a, 2] == unit_of[a, 3] else rows[unit_of[a:b, 4] == 1]
+                found += link_chunks(x, sub, copies, ids, left, right, int(unit_of[a, 0]), threshold)
+        if not found:
+            none = pa.array([], pa.int64())
+            return pa.table({"a": none, "b": none, "n": none})
+        node, root, who, links = (np.concatenate(c) for c in zip(*found))
+        node, root = forest(node, root)
+        who, at = np.unique(who, return_inverse=True)
         return pa.table({
-            "a": pa.array(np.r_[node, ids[some]]), "b": pa.array(np.r_[root, ids[some]]), "n": pa.array(np.r_[np.zeros(len(node), np.int64), links[some]]),
+            "a": pa.array(np.r_[node, who]), "b": pa.array(np.r_[root, who]),
+            "n": pa.array(np.r_[np.zeros(len(node), np.int64), np.bincount(at, links).astype(np.int64)]),
         })
 
     return run
@@ -205,4 +214,6 @@ def link_tables(reps: DataFrame, shared, threshold: float) -> DataFrame:
     pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(
         F.least(c, F.col("chunk")).alias("chunk_a"), F.greatest(c, F.col("chunk")).alias("chunk_b"), F.when(F.col("chunk") <= c, 0).otherwise(1).alias("side")))
     dealt = rows.select("slot", "key", "rep", "copies", "data", F.explode(pair).alias("p")).select("slot", "key", "rep", "copies", "data", "p.*")
-    return dealt.groupBy("slot", "key", "chunk_a", "chunk_b").applyInArrow(link_bucket(shared, threshold), "a long, b long, n long")
+    units = bucket_count(reps.sparkSession, 4)  # each has many whole chunk pairs
+    dealt = dealt.withColumn("unit", F.pmod(F.xxhash64("slot", "key", "chunk_a", "chunk_b"), F.lit(units)))
+    return dealt.groupBy("unit").applyInArrow(link_buckets(shared, threshold), "a long, b long, n long")

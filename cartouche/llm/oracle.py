@@ -1,3 +1,79 @@
 """SQL twins of the queries that SQL can express on whole tables."""
 
-ORACLES: dict[str, str] = {}
+COMPONENTS = """
+reach AS (
+    SELECT {id} AS id, {id} AS other FROM {nodes}
+    UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+parts AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+degrees AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": f"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+able AS (
+    SELECT vec_id, v FROM vectors
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT p.vec_id AS a, q.vec_id AS b FROM able p JOIN able q ON p.vec_id <> q.vec_id
+    WHERE list_cosine_similarity(p.v, q.v) >= 0.95
+),
+{COMPONENTS.format(id="vec_id", nodes="vectors")}
+SELECT p.id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, p.id = component_id AS kept
+FROM parts p LEFT JOIN degrees d ON d.id = p.id
+""",
+    "op2_ngram_jaccard_join": f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda w: translate(w,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+    JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+    GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+),
+{COMPONENTS.format(id="doc_id", nodes="texts")}
+SELECT p.id AS doc_id, coalesce(n, 0) AS n_shingles, coalesce(n_links, 0) AS n_links, component_id
+FROM parts p LEFT JOIN degrees d ON d.id = p.id LEFT JOIN sizes s ON s.doc_id = p.id
+""",
+    "op3_exact_top_k": """
+WITH able AS (
+    SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM able q JOIN able c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
+""",
+    "op8_substring_dedup": """
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts WHERE len(w) >= 50)
+),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s),
+gone AS (
+    SELECT doc_id, list(DISTINCT p) AS gone FROM (
+        SELECT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (s) WHERE first_id < doc_id
+    ) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+    sha256(array_to_string(list_filter(w, lambda x, p: NOT list_contains(coalesce(gone, []), p)), ' ')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc_id)
+""",
+}
