@@ -267,8 +267,8 @@ COVERAGE_METADATA = [
 ]
 PRIMARY_KEYS = {
     "dim_dates": "date_id",
-    "dim_companies": "company_id",
-    "dim_products": "product_id",
-    "fact_products": "product_fact_id",
-    "fact_certificates": "certificate_fact_id",
+    "dim_companies": "company_key",
+    "dim_products": "product_key",
+    "fact_products": "filing_id",
+    "fact_certificates": "filing_id",
 }

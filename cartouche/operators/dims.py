@@ -31,7 +31,9 @@ def _or_blank(name: str) -> Column:
 
 
 def company_key() -> Column:
-    return ids.surrogate_key(F.col("applicant_business_name"), F.col("applicant_mailing_address"))
+    """Null without a company name, so such filings skip the lookup."""
+    name = F.col("applicant_business_name")
+    return F.when(filled(name), ids.surrogate_key(name, F.col("applicant_mailing_address")))
 
 
 def product_key() -> Column:
@@ -131,28 +133,9 @@ def products(structured: DataFrame, order: list[str] | None = None) -> DataFrame
     )
 
 
-def source_ids(rows: DataFrame, owner: Column, per_chunk: int = 10_000) -> DataFrame:
-    """Filing ids per owner: ``owner_id, chunk, chunks, filing_ids``.
-
-    Every id is kept. An owner with up to ``per_chunk`` filings has one sorted list;
-    a bigger one is spread over hash chunks of about that size, so no single task
-    ever holds an unbounded list. Only owners that need more than one chunk are
-    joined back, and there are at most rows / per_chunk of those.
-    """
-    pairs = rows.select(owner.alias("owner_id"), "filing_id").where(F.col("owner_id").isNotNull())
-    big = (
-        pairs.groupBy("owner_id")
-        .count()
-        .where(F.col("count") > per_chunk)
-        .select("owner_id", F.ceil(F.col("count") / per_chunk).cast("int").alias("chunks"))
-    )
-    sized = pairs.join(big, "owner_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("filing_id"), F.col("chunks")).cast("int")
-    return (
-        sized.withColumn("chunk", chunk)
-        .groupBy("owner_id", "chunk", "chunks")
-        .agg(F.sort_array(F.collect_list("filing_id")).alias("filing_ids"))
-    )
+def source_ids(rows: DataFrame, owner: Column) -> DataFrame:
+    """Bridge table of owners and their filings, one row per pair: ``owner_key, filing_id``."""
+    return rows.select(owner.alias("owner_key"), "filing_id").where(F.col("owner_key").isNotNull()).distinct()
 
 
 def id_collisions(dimension: DataFrame, id_column: str, key_column: str) -> DataFrame:

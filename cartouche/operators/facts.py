@@ -34,7 +34,9 @@ def product_facts(structured: DataFrame, companies: DataFrame, products: DataFra
     return keyed.select(
         ids.fact_id("product", F.col("filing_id")).alias("product_fact_id"),
         "filing_id",
+        "company_key",
         "company_id",
+        "product_key",
         "product_id",
         dates.date_id(day("filing_date")).alias("filing_date_id"),
         dates.date_id(day("approval_date")).alias("approval_date_id"),
@@ -73,6 +75,7 @@ def certificate_facts(structured: DataFrame, companies: DataFrame) -> DataFrame:
     return keyed.select(
         ids.fact_id("certificate", F.col("filing_id")).alias("certificate_fact_id"),
         "filing_id",
+        "company_key",
         "company_id",
         dates.date_id(F.col("cert_application_date")).alias("application_date_id"),
         dates.date_id(F.col("cert_approval_date")).alias("approval_date_id"),
@@ -128,18 +131,12 @@ def legacy_certificate_facts(flat: DataFrame) -> DataFrame:
 
 
 def star(facts: DataFrame, companies: DataFrame, products: DataFrame, dim_dates: DataFrame) -> DataFrame:
-    """Facts with their company, product and filing-date attributes.
-
-    Joins are on the 32-bit ids, so a collided id is first reduced to one row:
-    the dimension row of the smaller full key.
-    """
-    company = companies.groupBy("company_id").agg(
-        F.min_by("business_name", "company_key").alias("business_name")
-    )
-    product = products.groupBy("product_id").agg(F.min_by("brand_name", "product_key").alias("brand_name"))
+    """Facts with their company, product and filing-date attributes, joined on the full keys (one dimension row each)."""
+    company = companies.select("company_key", "business_name")
+    product = products.select("product_key", "brand_name")
     days = dim_dates.select(F.col("date_id").alias("filing_date_id"), "year", "quarter", "season")
     return (
-        facts.join(company, "company_id", "left")
-        .join(product, "product_id", "left")
+        facts.join(company, "company_key", "left")
+        .join(product, "product_key", "left")
         .join(F.broadcast(days), "filing_date_id", "left")
     )

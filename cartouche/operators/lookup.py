@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,16 +72,14 @@ def code_for_description(frame: DataFrame, field: str, reference: DataFrame, kin
 
 
 def foreign_key(frame: DataFrame, key: Column, dimension: DataFrame, dim_key: str, dim_id: str) -> DataFrame:
-    """Left lookup of ``dim_id`` by a normalised key; no match leaves null.
+    """Left lookup of ``dim_key`` and ``dim_id`` by a full key; no match, or a null key, leaves both null.
 
     The dimension has one row per key. While it is under Spark's broadcast size the
     facts do not shuffle; beyond that the facts shuffle by key and AQE splits the
     partitions of hot keys (one small row on the other side).
     """
-    dim = dimension.select(F.col(dim_key).alias("__key"), F.col(dim_id))
-    return frame.withColumn("__fact_key", key).join(dim, F.col("__fact_key") == F.col("__key"), "left").drop(
-        "__fact_key", "__key"
-    )
+    dim = dimension.select(dim_key, dim_id)
+    return frame.withColumn("__fact_key", key).join(dim, F.col("__fact_key") == dim[dim_key], "left").drop("__fact_key")
 
 
 def orphans(facts: DataFrame, dimension: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -93,12 +90,17 @@ def orphans(facts: DataFrame, dimension: DataFrame, fact_key: str, dim_key: str)
 
 
 def orphan_report(facts: DataFrame, checks: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """One row per foreign key: ``foreign_key, orphans``."""
-    reports = [
-        orphans(facts, dim, fk, pk).agg(F.count("*").alias("orphans")).select(F.lit(fk).alias("foreign_key"), "orphans")
-        for fk, dim, pk in checks
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    """One row per foreign key: ``foreign_key, orphans``.
+
+    The facts are read once: each dimension, which has one row per key, is looked up from the left and all foreign keys
+    are counted together.
+    """
+    out = facts.select(*dict.fromkeys(fk for fk, _, _ in checks))
+    for i, (fk, dim, pk) in enumerate(checks):
+        keys = dim.select(F.col(pk).alias(f"__key{i}"), F.lit(True).alias(f"__hit{i}"))
+        out = out.join(keys, F.col(fk) == F.col(f"__key{i}"), "left")
+    missing = [F.count_if(F.col(fk).isNotNull() & F.col(f"__hit{i}").isNull()).alias(fk) for i, (fk, _, _) in enumerate(checks)]
+    return out.agg(*missing).unpivot([], [fk for fk, _, _ in checks], "foreign_key", "orphans")
 
 
 def with_dates(facts: DataFrame, dim_dates: DataFrame, roles: dict[str, str], columns: list[str]) -> DataFrame:

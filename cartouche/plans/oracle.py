@@ -167,7 +167,7 @@ products AS (
       + CASE WHEN alcohol_content <> 0 THEN 10 ELSE 0 END, ord) / 100.0 AS DECIMAL(5,3)) AS data_quality_score
   FROM s WHERE has_detail AND brand_name <> '' GROUP BY pkey),
 fp AS (
-  SELECT {key32("'product_' || filing_id")} AS product_fact_id, filing_id, co.company_id, pr.product_id,
+  SELECT {key32("'product_' || filing_id")} AS product_fact_id, filing_id, co.company_key, co.company_id, pr.product_key, pr.product_id,
     {date_id('filing_date')} AS filing_date_id, {date_id('approval_date')} AS approval_date_id,
     {date_id('expiration_date')} AS expiration_date_id,
     CAST(final_quality_score AS DECIMAL(5,3)) AS final_quality_score, CAST(data_completeness_score AS DECIMAL(5,3)) AS data_completeness_score,
@@ -177,7 +177,7 @@ fp AS (
     filing_date, approval_date, expiration_date, partition_date
   FROM s LEFT JOIN companies co ON co.company_key = md5(ckey) LEFT JOIN products pr ON pr.product_key = md5(pkey) WHERE has_detail),
 fc AS (
-  SELECT {key32("'certificate_' || filing_id")} AS certificate_fact_id, filing_id, co.company_id,
+  SELECT {key32("'certificate_' || filing_id")} AS certificate_fact_id, filing_id, co.company_key, co.company_id,
     {date_id('cert_application_date')} AS application_date_id, {date_id('cert_approval_date')} AS approval_date_id,
     CAST(final_quality_score AS DECIMAL(5,3)) AS final_quality_score, CAST(data_completeness_score AS DECIMAL(5,3)) AS data_completeness_score,
     coalesce(cert_status, status) LIKE '%APPROVED%' AS is_approved, has_detail AS has_detail_data,
@@ -267,7 +267,7 @@ a AS (
 def company_export(where: str, day: str) -> str:
     """Company dimension of part of the filings, at the sink schema."""
     return f"""
-  SELECT {key32('ckey')} AS company_id, arg_min(applicant_business_name, ord) AS business_name,
+  SELECT md5(ckey) AS company_key, {key32('ckey')} AS company_id, arg_min(applicant_business_name, ord) AS business_name,
     arg_min(coalesce(applicant_mailing_address,''), ord) AS mailing_address,
     coalesce(arg_min(applicant_phone, ord) FILTER (WHERE applicant_phone <> ''), '') AS phone,
     coalesce(arg_min(applicant_email, ord) FILTER (WHERE applicant_email <> ''), '') AS email, '' AS fax,
@@ -339,12 +339,12 @@ base("union_partitions", """
 SELECT n AS landed, k AS kept, round(k / n::DOUBLE, 6) AS ratio FROM (
   SELECT (SELECT count(*) FROM d) + (SELECT count(*) FROM c) AS n, (SELECT count(*) FROM m) AS k)""")
 
-ORDER_ID = "printf('%02d%03d%03d%06d', year(o_orderdate) % 100, dayofyear(o_orderdate), o_orderkey % 4, o_custkey + 1)"
+ORDER_ID = "printf('%02d%03d%03d%06d', year(o_orderdate) % 100, dayofyear(o_orderdate), o_orderkey % 4, o_orderkey // 146400 + 1)"
 plain("filing_ids", f"""
 SELECT o_orderkey, {ORDER_ID} AS filing_id,
   printf('%d-%03d-%03d', CASE WHEN year(o_orderdate) % 100 <= 30 THEN 2000 + year(o_orderdate) % 100 ELSE 1900 + year(o_orderdate) % 100 END,
     dayofyear(o_orderdate), o_orderkey % 4) AS partition_key,
-  printf('%d%03d%03d%06d', year(o_orderdate), dayofyear(o_orderdate), o_orderkey % 4, o_custkey + 1) AS long_id,
+  printf('%d%03d%03d%06d', year(o_orderdate), dayofyear(o_orderdate), o_orderkey % 4, o_orderkey // 146400 + 1) AS long_id,
   CAST(o_orderdate AS DATE) AS day_again,
   CASE o_orderkey % 4 WHEN 1 THEN 'e-filed' WHEN 2 THEN 'mailed' WHEN 3 THEN 'overnight' ELSE 'hand delivered' END AS method_name FROM orders""")
 plain("filing_id_parse", f"""
@@ -380,14 +380,18 @@ SELECT {date_id('date')} AS date_id, date, CAST(year(date) AS INT) AS year, CAST
 
 base("company_dim", "SELECT * FROM companies")
 base("company_source_ids", f"""
-SELECT {key32('ckey')} AS owner_id, CAST(0 AS INT) AS chunk, CAST(1 AS INT) AS chunks, string_agg(filing_id, ',' ORDER BY filing_id) AS filing_ids
-FROM s WHERE coalesce(applicant_business_name,'') <> '' GROUP BY ckey""")
+SELECT DISTINCT md5(ckey) AS owner_key, filing_id FROM s WHERE coalesce(applicant_business_name,'') <> ''""")
 base("product_dim", "SELECT * FROM products")
 base("product_categories", """
 SELECT count(*) AS unique_products, count(*) FILTER (WHERE product_category='WINE') AS wine_products,
   count(*) FILTER (WHERE product_category='BEER') AS beer_products, count(*) FILTER (WHERE product_category='SPIRITS') AS spirits_products FROM products""")
 base("id_collisions", """
-SELECT count(*) AS collided_ids FROM (SELECT company_id FROM companies GROUP BY 1 HAVING count(DISTINCT company_key) > 1)""")
+SELECT a.audited, count(c.id) AS collided_ids
+FROM (VALUES ('companies'), ('products'), ('product_facts'), ('certificate_facts')) a(audited) LEFT JOIN (
+  SELECT audited, id FROM (
+    SELECT 'companies' AS audited, company_id AS id, company_key AS k FROM companies UNION ALL SELECT 'products', product_id, product_key FROM products
+    UNION ALL SELECT 'product_facts', product_fact_id, filing_id FROM fp UNION ALL SELECT 'certificate_facts', certificate_fact_id, filing_id FROM fc)
+  GROUP BY 1, 2 HAVING count(DISTINCT k) > 1) c USING (audited) GROUP BY 1""")
 LEGACY_KEY = "applicant_business_name || '|' || coalesce(applicant_mailing_address, 'None')"
 base("company_dim_legacy", f"""
 SELECT substr(md5({LEGACY_KEY}),1,16) AS company_hash, arg_min(applicant_business_name, ord) AS company_name, arg_min(applicant_mailing_address, ord) AS mailing_address,
@@ -422,7 +426,7 @@ FROM m JOIN c ON m.filing_id = c.filing_id""")
 base("star_rollup", """
 SELECT CAST(year(filing_date) AS INT) AS year, CASE WHEN month(filing_date) IN (12,1,2) THEN 'Winter' WHEN month(filing_date) <= 5 THEN 'Spring' WHEN month(filing_date) <= 8 THEN 'Summer' ELSE 'Fall' END AS season,
   p.brand_name, count(*) AS filings, count(DISTINCT business_name) AS companies, round(avg(days_to_approval),6) AS mean_days
-FROM fp LEFT JOIN companies USING (company_id) LEFT JOIN products p USING (product_id) GROUP BY 1,2,3""")
+FROM fp LEFT JOIN companies USING (company_key) LEFT JOIN products p USING (product_key) GROUP BY 1,2,3""")
 base("fact_dates", """
 SELECT CAST(year(filing_date) AS INT) AS filed_year, CASE WHEN year(approval_date) <= (SELECT year(max(date)) FROM dates) THEN CAST(year(approval_date) AS INT) END AS approved_year,
   CASE WHEN year(expiration_date) <= (SELECT year(max(date)) FROM dates) THEN 'Q' || quarter(expiration_date) END AS expires_quarter_name, count(*) AS filings FROM fp GROUP BY 1,2,3""")
@@ -679,14 +683,19 @@ base("export_projection", company_export("coalesce(applicant_business_name,'') <
 base("upsert_dims", f"""
 , o AS ({company_export("coalesce(applicant_business_name,'') <> '' AND partition_date < DATE '1998-01-01'", '1997-12-31')}),
 n AS ({company_export("coalesce(applicant_business_name,'') <> '' AND partition_date >= DATE '1998-01-01'", '2001-12-31')})
-SELECT * FROM n UNION ALL SELECT * FROM o WHERE company_id NOT IN (SELECT company_id FROM n)""")
+SELECT * FROM n UNION ALL SELECT * FROM o WHERE company_key NOT IN (SELECT company_key FROM n)""")
+base("upsert_facts", """
+, all_facts AS (SELECT 'fact_products' AS fact, filing_id, company_key, serial_number, partition_date FROM fp
+  UNION ALL SELECT 'fact_certificates', filing_id, company_key, serial_number, partition_date FROM fc)
+SELECT fact, filing_id, company_key, CASE WHEN partition_date >= DATE '1998-01-01' THEN 'restated' ELSE serial_number END AS serial_number,
+  CASE WHEN partition_date >= DATE '1998-01-01' THEN DATE '2001-12-31' ELSE DATE '1998-12-31' END AS partition_date FROM all_facts""")
 base("accumulate_dims", f"""
-SELECT {key32('ckey')} AS company_id, any_value(applicant_business_name) AS business_name, min(partition_date) AS first_seen_date, max(partition_date) AS last_seen_date, count(*) AS total_applications
+SELECT md5(ckey) AS company_key, any_value(applicant_business_name) AS business_name, min(partition_date) AS first_seen_date, max(partition_date) AS last_seen_date, count(*) AS total_applications
 FROM s WHERE coalesce(applicant_business_name,'') <> '' GROUP BY ckey""")
 base("upsert_codes", "SELECT kind, code, CASE WHEN code = 'NATION_3' THEN description ELSE upper(description) END AS description FROM reference")
 ORDER_ROWS = """
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice,2) AS o_totalprice, o_orderpriority, CAST(o_orderdate AS DATE) AS partition_date, CAST(o_orderkey % 4 AS INT) AS receipt_method"""
-plain("roundtrip_parquet", ORDER_ROWS + " FROM orders WHERE o_orderstatus IN ('F','O')")
+plain("roundtrip_parquet", ORDER_ROWS + " FROM orders")
 plain("roundtrip_json", ORDER_ROWS + " FROM orders")
 plain("roundtrip_csv", ORDER_ROWS + """, '["' || o_orderstatus || '","' || o_orderpriority || '"]' AS tags FROM orders""")
 plain("landed_scan", f"""

@@ -90,23 +90,23 @@ schemas.register("dim_dates", """
 """)
 
 schemas.register("dim_companies", """
-    company_id BIGINT, business_name STRING, mailing_address STRING, phone STRING, email STRING, fax STRING,
+    company_key STRING, company_id BIGINT, business_name STRING, mailing_address STRING, phone STRING, email STRING, fax STRING,
     first_seen_date DATE, last_seen_date DATE, total_applications BIGINT, data_quality_score DECIMAL(5,3),
     partition_date DATE
 """)
 
 schemas.register("dim_products", """
-    product_id BIGINT, brand_name STRING, fanciful_name STRING, product_description STRING, class_type_code STRING,
+    product_key STRING, product_id BIGINT, brand_name STRING, fanciful_name STRING, product_description STRING, class_type_code STRING,
     origin_code STRING, product_category STRING, grape_varietals STRING, wine_appellation STRING,
     alcohol_content DECIMAL(5,2), net_contents STRING, first_seen_date DATE, last_seen_date DATE, total_labels BIGINT,
     data_quality_score DECIMAL(5,3), partition_date DATE
 """)
 
-schemas.register("source_ids", "owner_id BIGINT, chunk INT, chunks INT, filing_ids ARRAY<STRING>")
+schemas.register("source_ids", "owner_key STRING, filing_id STRING")
 
 schemas.register("fact_products", """
-    product_fact_id BIGINT, filing_id STRING, company_id BIGINT, product_id BIGINT, filing_date_id INT,
-    approval_date_id INT, expiration_date_id INT, final_quality_score DECIMAL(5,3),
+    product_fact_id BIGINT, filing_id STRING, company_key STRING, company_id BIGINT, product_key STRING,
+    product_id BIGINT, filing_date_id INT, approval_date_id INT, expiration_date_id INT, final_quality_score DECIMAL(5,3),
     data_completeness_score DECIMAL(5,3), days_to_approval INT, has_certificate_data BOOLEAN,
     has_detail_data BOOLEAN, class_type_code STRING, origin_code STRING, product_category STRING, status STRING,
     serial_number STRING, vendor_code STRING, filing_date DATE, approval_date DATE, expiration_date DATE,
@@ -114,7 +114,7 @@ schemas.register("fact_products", """
 """)
 
 schemas.register("fact_certificates", """
-    certificate_fact_id BIGINT, filing_id STRING, company_id BIGINT, application_date_id INT, approval_date_id INT,
+    certificate_fact_id BIGINT, filing_id STRING, company_key STRING, company_id BIGINT, application_date_id INT, approval_date_id INT,
     final_quality_score DECIMAL(5,3), data_completeness_score DECIMAL(5,3), is_approved BOOLEAN,
     has_detail_data BOOLEAN, certificate_status STRING, certificate_type STRING, serial_number STRING,
     plant_registry_number STRING, application_date DATE, approval_date DATE, partition_date DATE

@@ -32,12 +32,12 @@ def candidate_ids(
     """Every possible filing id of the days (column ``date``) for the methods and a sequence range.
 
     Sequences are generated in blocks of 1,000, so one (day, method) spreads over
-    many rows before ids are formed and no array exceeds a block.
+    many rows before ids are formed and no array exceeds a block. A sequence of
+    more than six digits gives a longer id, which ``is_filing_id`` rejects.
     """
     lo, hi = (c if isinstance(c, Column) else F.lit(c) for c in (start, end))
-    hi = F.least(hi.cast("long"), F.lit(MAX_SEQUENCE))
     order = F.array(*[F.lit(m) for m in (methods or METHOD_ORDER)])
-    grid = days.select("date", lo.cast("long").alias("lo"), hi.alias("hi")).where(F.col("lo") <= F.col("hi"))
+    grid = days.select("date", lo.cast("long").alias("lo"), hi.cast("long").alias("hi")).where(F.col("lo") <= F.col("hi"))
     blocks = grid.select("date", "hi", F.explode(order).alias("receipt_method"),
                          "lo").select("date", "hi", "receipt_method", F.explode(
                              F.sequence(F.col("lo"), F.col("hi"), F.lit(1000))).alias("at"))

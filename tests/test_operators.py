@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartouche.constants import CERTIFICATE, DETAIL
-from cartouche.operators import checks, clean, dims, extract, lookup, merge, ordered
-from cartouche.sources import files, scratch
+from cartouche.operators import checks, clean, dims, extract, lookup, merge, ordered, upsert
+from cartouche.sources import files, grids, scratch
 from cartouche.streaming import ingest, monitor
 
 LOG = "g string, sequence bigint, success boolean"
@@ -45,9 +45,23 @@ def test_rank_filter_limits_before_the_shuffle(spark):
 
 def test_hot_owner_keeps_every_id(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).alias("o"), F.format_string("%05d", "id").alias("filing_id"))
-    lists = dims.source_ids(rows, F.col("o"), per_chunk=100).where("owner_id = 1").collect()
-    assert len(lists) == 20 and max(len(r["filing_ids"]) for r in lists) < 200
-    assert sorted(i for r in lists for i in r["filing_ids"]) == [f"{i:05d}" for i in range(2000)]
+    pairs = dims.source_ids(rows.union(rows.limit(5)), F.col("o")).where("owner_key = 1").collect()
+    assert sorted(r["filing_id"] for r in pairs) == [f"{i:05d}" for i in range(2000)]
+
+
+def test_facts_that_share_a_short_id_are_both_kept(spark):
+    """The 32-bit id is an attribute: a merge of two filings with one such id keeps both."""
+    old = spark.sql("SELECT 7L AS product_fact_id, '24001001000001' AS filing_id, DATE '2024-01-01' AS partition_date")
+    new = spark.sql("SELECT 7L AS product_fact_id, '24001001000002' AS filing_id, DATE '2024-01-02' AS partition_date")
+    merged = upsert.upsert_table(old, new.union(old), "fact_products")
+    assert sorted(r["filing_id"] for r in merged.collect()) == ["24001001000001", "24001001000002"]
+
+
+def test_sequences_are_not_clipped(spark):
+    days = spark.sql("SELECT DATE '2024-01-01' AS date")
+    got = grids.candidate_ids(days, [1], 999_998, 1_000_001).select("sequence", "filing_id").orderBy("sequence").collect()
+    assert [r["sequence"] for r in got] == list(range(999_998, 1_000_002))
+    assert [len(r["filing_id"]) for r in got] == [14, 14, 15, 15]
 
 
 def views(spark):
