@@ -18,7 +18,7 @@ from cartouche.functions import classify, dates, ids, numbers, score, text
 from cartouche.operators import (
     checks, clean, dims, extract, facts, images, lookup, merge, ordered, stats, structure, upsert,
 )
-from cartouche.plans.filings import Filings
+from cartouche.plans.filings import Filings, from_pages
 from cartouche.registry import registry, rules_for, legacy_classification
 from cartouche.schemas import schemas
 from cartouche.sources import files, grids, scratch, tables
@@ -38,7 +38,7 @@ def modelled(fn: Callable[[Filings], DataFrame]) -> Query:
     """A query over dimensions and facts together: the structured table is written once and read by each."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(plan_of(spark, sf_dir).stored())
+        return fn(plan_of(spark, sf_dir).stored)
 
     QUERIES[fn.__name__] = run
     return run
@@ -808,6 +808,16 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def filings_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of both views through the whole daily plan."""
+    detail, certificate = tables.detail_pages(spark, sf_dir), tables.certificate_pages(spark, sf_dir)
+    path = scratch.fresh_path(spark, "landed-pages")
+    files.write_landed(detail.unionByName(certificate, allowMissingColumns=True), path)
+    return from_pages(files.scan_parquet(spark, path)).select(
+        "filing_id", "has_detail", "has_certificate", "brand_name", "status", "applicant_business_name", "class_type_code", "approval_date")
+
+
 @query
 def page_company_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.detail_fields(_landed(spark, sf_dir, DETAIL)).select(

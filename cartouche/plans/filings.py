@@ -7,7 +7,7 @@ key to build the dimensions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,10 +47,21 @@ ABSENT_FROM_PAGES = {
 }
 
 
+def last_landed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages to extract, the last landing of each file id and view; and rejects: no html, no view, an unknown one, or no id.
+
+    Picking before extraction spares the pages that were replaced. Rows without a status code count as fetched.
+    """
+    fetched = clean.fetched_ok(pages) if "status_code" in pages.columns else pages
+    good, bad = clean.readable(clean.drop_error_pages(fetched))
+    detail, certificate, rejects = split_identified(good)
+    order = [F.col("sequence").desc(), *([F.col("fetched_at").desc()] if "fetched_at" in pages.columns else [])]
+    return ordered.latest_per_view(detail.unionByName(certificate), order), rejects.unionByName(bad)
+
+
 def from_pages(pages: DataFrame) -> DataFrame:
     """Landed pages (a stored table) -> structured filings."""
-    good, _ = clean.readable(clean.drop_error_pages(clean.fetched_ok(pages)))
-    detail_page, certificate_page, _ = clean.split_views(good)
+    detail_page, certificate_page, _ = clean.split_views(last_landed(pages)[0])
     detail = cleaned(extract.detail_fields(detail_page), DETAIL)
     detail = detail.withColumns({
         c: F.lit(None).cast(t) for c, t in ABSENT_FROM_PAGES.items() if c not in detail.columns
@@ -66,6 +77,8 @@ class Filings:
     spark: SparkSession
     sf_dir: str
     written: DataFrame | None = None
+    written_companies: DataFrame | None = None
+    written_products: DataFrame | None = None
 
     @cached_property
     def detail(self) -> DataFrame:
@@ -84,17 +97,20 @@ class Filings:
     def structured(self) -> DataFrame:
         return structure.structure(self.merged) if self.written is None else self.written
 
+    @cached_property
     def stored(self) -> Filings:
-        """The same plan with the structured table written first, for results that read it several times."""
-        return Filings(self.spark, self.sf_dir, through_storage(self.structured, "structured"))
+        """The same plan with the structured table and the dimensions written first, once, for results that read them several times."""
+        written = Filings(self.spark, self.sf_dir, through_storage(self.structured, "structured"))
+        return replace(
+            written, written_companies=through_storage(written.companies, "companies"), written_products=through_storage(written.products, "products"))
 
     @cached_property
     def companies(self) -> DataFrame:
-        return dims.companies(self.structured)
+        return dims.companies(self.structured) if self.written_companies is None else self.written_companies
 
     @cached_property
     def products(self) -> DataFrame:
-        return dims.products(self.structured)
+        return dims.products(self.structured) if self.written_products is None else self.written_products
 
     @cached_property
     def dates(self) -> DataFrame:

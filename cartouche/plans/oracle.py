@@ -654,7 +654,7 @@ WHERE sha256(html) NOT IN ('50fa048f9cf8200c3d82d60add59b3b1f78f9e3ebc67f9395051
 base("page_fields", """
 SELECT filing_id, status, vendor_code, serial_number, class_type_code, origin_code, NULLIF(brand_name,'') AS brand_name, NULLIF(fanciful_name,'') AS fanciful_name,
   CAST(NULL AS VARCHAR) AS for_sale_in, CAST(NULL AS VARCHAR) AS formula, strftime(approval_date,'%Y-%m-%d') AS approval_date,
-  'Filed ' || strftime(filing_date,'%m/%d/%Y') || ' as is.' AS qualifications, true AS parsing_success FROM d""")
+  'Filed ' || strftime(filing_date,'%m/%d/%Y') || ' as is. Café — 😀' AS qualifications, true AS parsing_success FROM d""")
 base("page_company_block", """
 SELECT filing_id, 'DC-I-' || vendor_code AS plant_registry_number, applicant_business_name || ' & Sons' AS applicant_business_name,
   a AS address_line_1, 'UNIT 7' AS address_line_2, a || ', UNIT 7' AS applicant_mailing_address, 'ROY' AS contact_first_name, 'CLOUD' AS contact_last_name,
@@ -716,3 +716,6 @@ SELECT {HOUR}, severity, count(*) AS failed_checks FROM (SELECT date_trunc('hour
 WHERE severity IS NOT NULL GROUP BY w, severity""")
 plain("stream_ingest", f"SELECT CAST(doc_id AS VARCHAR) AS filing_id, md5({clean('text')}) AS brand_hash, lang FROM documents")
 plain("stream_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS filing_id, DATE '2024-01-31' AS partition_date FROM events")
+base("filings_from_pages", """
+SELECT filing_id, has_detail, has_certificate, brand_name, status, CASE WHEN has_detail THEN applicant_business_name || ' & Sons' ELSE applicant_business_name END AS applicant_business_name,
+  class_type_code, approval_date FROM s""")

@@ -14,17 +14,20 @@ PARTITION_COLUMNS = ["view", "partition_date", "receipt_method"]
 def scan_landed_html(spark: SparkSession, root: str) -> DataFrame:
     """Landed pages: one file per page under ``view=/partition_date=/receipt_method=``.
 
-    Id from the file name, size from the listing. Partition filters prune
-    directories. Landing many small files is slow to list; compact once with
+    Id and sequence from the file name, size and time from the listing. A landed file
+    was fetched, so there is no status code. Partition filters prune directories. Landing many small files is slow to list; compact once with
     ``write_landed`` and scan Parquet from then on.
     """
     pages = spark.read.text(root, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.html?$", 1)
+    fid = F.regexp_extract(name, "([0-9]{14,})", 1)
     return pages.select(
-        F.regexp_extract(name, "([0-9]{14})", 1).alias("filing_id"),
+        fid.alias("filing_id"),
+        F.substring(fid, 9, 12).try_cast("int").alias("sequence"),
         F.col("value").alias("html"),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_size").alias("size_bytes"),
+        F.col("_metadata.file_modification_time").alias("fetched_at"),
         *[c for c in pages.columns if c != "value"],
     )
 

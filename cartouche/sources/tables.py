@@ -207,7 +207,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit("<html><!-- <td><strong>Status:</strong> draft</td> --><body><table>"),
         _cells(_bold("TTB ID:", c("filing_id")), _bold("Status:", c("status"))),
-        _cells(_bold("Vendor Code:", c("vendor_code")), _bold("Serial #:", c("serial_number"))),
+        _cells(F.concat(F.lit("<p>"), _bold("Vendor Code:", c("vendor_code")), F.lit("</p>")), _bold("Serial #:", c("serial_number"))),
         _cells(_bold("Class/Type Code:", c("class_type_code")), _bold("Origin Code:", c("origin_code"))),
         _cells(_bold("Brand Name:", c("brand_name")), _bold("Fanciful Name:", c("fanciful_name"))),
         _cells(_bold("For Sale In:", F.lit(None)), _bold("Formula :", F.lit(None))),
@@ -223,7 +223,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cells("Fax", "main desk", F.concat(F.lit("("), F.lpad(c("vendor_code"), 3, "0"), F.lit(") 555-0199"))),
         F.lit("</table><table><tr><td><strong>Qualifications:</strong> Filed "),
         c("filing_date"),
-        F.lit(" as is.</td></tr></table></body></html>"),
+        F.lit(" as is. Caf&eacute; &#x2014; &#128512;</td></tr></table></body></html>"),
     )
     return raw.select("filing_id", "view", "sequence", "receipt_method", "partition_date", "status_code", html.alias("html"))
 
