@@ -815,7 +815,7 @@ def filings_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.fresh_path(spark, "landed-pages")
     files.write_landed(detail.unionByName(certificate, allowMissingColumns=True), path)
     return from_pages(files.scan_parquet(spark, path)).select(
-        "filing_id", "has_detail", "has_certificate", "brand_name", "status", "applicant_business_name", "class_type_code", "approval_date")
+        "filing_id", "has_detail", "has_certificate", "brand_name", "status", "applicant_business_name")
 
 
 @query
@@ -1017,18 +1017,6 @@ def _stamp(frame: DataFrame, name: str = "window_start") -> DataFrame:
     return frame.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
 
 
-def _run_stream(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drain a streaming frame into a fresh Parquet table and read it."""
-    spark = stream.sparkSession
-    path = scratch.fresh_path(spark, name)
-    started = (
-        stream.writeStream.format("parquet").outputMode(mode)
-        .option("checkpointLocation", path + "-checkpoint").trigger(availableNow=True).start(path)
-    )
-    started.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table as a file stream."""
     return spark.readStream.schema(table(spark, sf_dir, name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
@@ -1042,8 +1030,11 @@ def run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_health_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows from a stream; the last, still open window stays back."""
-    out = _run_stream(monitor.run_health(_runs(_stream(spark, sf_dir, "events"))), "run-health")
+    """The same windows from a stream in update mode, the last state of each window."""
+    windows = monitor.run_health(_runs(_stream(spark, sf_dir, "events")))
+    path = scratch.fresh_path(spark, "run-health")
+    ingest.land_batches(windows, path, path + "-checkpoint", "update").awaitTermination()
+    out = ingest.merged(spark, path, windows.schema, ["window_start"])
     return _stamp(out).withColumn("success_rate", rounded("success_rate"))
 
 
@@ -1084,13 +1075,12 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event users deduplicated in a stream, then upserted by key into a versioned table."""
+    """Event users deduplicated in a stream, landed by batch and merged by key."""
     rows = _stream(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("filing_id"), F.col("ts").cast("timestamp").alias("fetched_at"),
         F.lit("2024-01-31").cast("date").alias("partition_date"),
     )
     path = scratch.fresh_path(spark, "dedup")
-    target = ingest.VersionedTable(spark, path)
     fresh = ingest.dedup_ids(rows, lateness="60 days")
-    ingest.upsert_batches(fresh, target, ["filing_id"], path + "-checkpoint").awaitTermination()
-    return target.read().select("filing_id", "partition_date")
+    ingest.land_batches(fresh, path, path + "-checkpoint").awaitTermination()
+    return ingest.merged(spark, path, fresh.schema, ["filing_id"], [F.col("partition_date").desc()]).select("filing_id", "partition_date")

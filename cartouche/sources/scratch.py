@@ -15,9 +15,12 @@ def shared_dir(spark: SparkSession) -> str:
     the checkpoint folder, so later calls find it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    single = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
     if configured:
+        if not single and "://" not in configured and not configured.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir names no file system: {configured}")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not single:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -1,24 +1,19 @@
-"""Incremental ingest: landed pages to cleaned rows, id dedup, dimension upsert."""
+"""Incremental ingest: landed pages to cleaned rows, id dedup, batches merged by key."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartouche.operators import clean
-from cartouche.operators.upsert import upsert
+from cartouche.operators.ordered import pick_first
 from cartouche.sources.files import PARTITION_COLUMNS
 
 
-def landed_stream(spark: SparkSession, root: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """New files under ``root`` as they land; ``files_per_batch`` bounds a micro-batch, not the run."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(root)
-
-
 def cleaned(rows: DataFrame, view: str) -> DataFrame:
     """The batch cleaning of one view; it is stateless, so a stream takes it unchanged."""
     return clean.apply_view_rules(clean.identified(rows)[0], view)
@@ -41,54 +36,30 @@ def dedup_ids(stream: DataFrame, time: str = "fetched_at", lateness: str = "1 da
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(["filing_id"])
 
 
-class VersionedTable:
-    """Parquet table replaced as a whole: ``data/version=N`` plus a list of published versions.
+def land_batches(
+    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", build: Callable[[DataFrame], DataFrame] = lambda batch: batch
+) -> StreamingQuery:
+    """Drain a stream into ``path/batch=N``, one folder per micro-batch.
 
-    A micro-batch N reads the newest version below N and writes version N before it
-    publishes N, so a batch that is run again after a lost executor or driver
-    rewrites the same directory and readers never see half of it.
+    Nothing landed before is read or rewritten; a batch that runs again after a failure replaces its own folder. In
+    ``update`` mode a drained run holds every group, also those that a watermark would keep open.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
-        self._list(self.spark.range(0))  # the list exists from the start, with nothing in it
-
-    def _list(self, versions: DataFrame) -> None:
-        versions.select(F.col("id").alias("version")).write.mode("append").json(f"{self.root}/published")
+    def land(batch: DataFrame, batch_id: int) -> None:
+        build(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    def newest(self, below: int | None = None) -> int | None:
-        published = self.spark.read.schema("version BIGINT").json(f"{self.root}/published")
-        if below is not None:
-            published = published.where(F.col("version") < below)
-        return published.agg(F.max("version")).first()[0]
-
-    def read(self, below: int | None = None) -> DataFrame | None:
-        version = self.newest(below)
-        return None if version is None else self.spark.read.parquet(f"{self.root}/data/version={version}")
-
-    def publish(self, frame: DataFrame, version: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.root}/data/version={version}")
-        self._list(self.spark.range(version, version + 1))
+    return (
+        stream.writeStream.outputMode(mode).foreachBatch(land)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
-def upsert_batches(
-    stream: DataFrame,
-    table: VersionedTable,
-    keys: list[str],
-    checkpoint: str,
-    build: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-    version_column: str = "partition_date",
-) -> StreamingQuery:
-    """Merge each micro-batch (after ``build``) into the table by key."""
+def merged(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Rows of landed batches, the last per key: by ``order``, then by batch. An upsert at read; ``compact`` stores it."""
+    landed = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    return pick_first(landed, keys, [*(order or []), F.col("batch").desc()]).drop("batch")
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        new = build(batch)
-        old = table.read(below=batch_id)
-        table.publish(new if old is None else upsert(old, new, keys, version_column), batch_id)
 
-    return (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: list[str], order: list[Column] | None = None) -> None:
+    """Write the merged rows as a table of their own, for instance once a day."""
+    merged(spark, path, schema, keys, order).write.mode("overwrite").parquet(target)

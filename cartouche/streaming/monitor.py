@@ -1,8 +1,8 @@
 """Hourly run health and failed-check rollups.
 
 The functions take a static or a streaming frame. On a stream the watermark drops
-windows' state once they close; a batch twin computes the same windows and leaves
-out those that a watermark would still hold open.
+windows' state once they close; in update mode a drained run also gives the windows
+that are still open.
 """
 
 from __future__ import annotations
@@ -72,9 +72,3 @@ def alert_report(alerts: DataFrame) -> DataFrame:
     """Alerts per severity and window, for a static alert table."""
     count = lambda s: F.count_if(F.col("severity") == s).alias(f"{s}_alerts")
     return alerts.groupBy("window_start").agg(count("high"), count("medium"), count("low"))
-
-
-def closed_windows(windows: DataFrame, events: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
-    """Batch twin of append mode: only windows that end at or before max(ts) - lateness."""
-    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {lateness}")).alias("mark"))
-    return windows.where(F.col("window_start") + F.expr(f"INTERVAL {window}") <= mark.scalar())

@@ -189,13 +189,14 @@ def test_json_arrays(spark, tmp_path):
     assert sorted(tuple(r) for r in files.scan_json(spark, str(tmp_path), "a INT, b STRING").collect()) == [(1, None), (2, "x")]
 
 
-def test_versioned_table_is_idempotent(spark):
-    table = ingest.VersionedTable(spark, scratch.fresh_path(spark, "versions"))
-    assert table.newest() is None and table.read() is None
-    frame = spark.range(3)
-    for version in (0, 1, 1):
-        table.publish(frame, version)
-    assert table.newest() == 1 and table.newest(below=1) == 0 and table.read().count() == 3
+def test_landed_batches_merge_by_key(spark):
+    """A batch that ran twice counts once; the last batch of a key wins."""
+    path = scratch.fresh_path(spark, "batches")
+    for batch, low in ((0, 0), (1, 2), (1, 2)):
+        spark.range(low, low + 3).select("id", F.lit(batch).alias("v")).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    schema = spark.range(0).select("id", F.lit(0).alias("v")).schema
+    ingest.compact(spark, path, path + "-whole", schema, ["id"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path + "-whole").collect()) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 1)]
 
 
 def test_alerts(spark):
