@@ -181,10 +181,10 @@ def category_counts(products: DataFrame) -> DataFrame:
     )
 
 
-def consolidation_ratio(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Kept rows over landed rows."""
-    kept = after.agg(F.count("*").alias("kept")).scalar()
-    counted = before.agg(F.count("*").alias("landed")).withColumn("kept", kept)
+def consolidation_ratio(landed: DataFrame, key: str = "filing_id") -> DataFrame:
+    """Rows landed, rows that keep-first by ``key`` leaves (one per key, a null key included), and their ratio; one pass."""
+    counted = landed.agg(
+        F.count("*").alias("landed"), (F.count_distinct(key) + F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))).alias("kept"))
     return counted.withColumn("ratio", ratio(F.col("kept"), F.col("landed")))
 
 

@@ -183,8 +183,7 @@ def union_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filing_id", "view", "sequence", "receipt_method", "certificate_type"
     )
     landed = files.union_all(detail, certificate)
-    kept = ordered.dedup_keep_first(landed)
-    return stats.consolidation_ratio(landed, kept).select("landed", "kept", rounded("ratio").alias("ratio"))
+    return stats.consolidation_ratio(landed).select("landed", "kept", rounded("ratio").alias("ratio"))
 
 
 # --- ids, grids, dates -----------------------------------------------------------
@@ -859,8 +858,7 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def image_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = images.explode_images(extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE)))
-    return images.image_counters(out, F.col("display").isNotNull())
+    return images.image_counters(extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE)), lambda i: i["display"].isNotNull())
 
 
 @query
