@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartouche.constants import DATE_FORMATS, HOLIDAYS, LEGACY_DATE_FORMATS
 from cartouche.functions.text import clean_text, none_if_empty, text
@@ -73,13 +72,6 @@ def parse_legacy_date(c: Column) -> Column:
     return parse_with(text(c), LEGACY_DATE_FORMATS)
 
 
-def as_date(c: Column, dtype: T.DataType | None = None) -> Column:
-    """Date of a column that may already be typed."""
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return c.cast("date")
-    return parse_flexible_date(c)
-
-
 def iso(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -163,10 +155,5 @@ def calendar_columns(d: Column) -> list[Column]:
     ]
 
 
-def stale(ts: Column, now: Column, max_days: int = 7) -> Column:
-    """Older than ``max_days`` whole days at ``now``."""
-    return age_days(ts, now) > max_days
-
-
 def age_days(ts: Column, now: Column) -> Column:
     return F.floor((F.unix_timestamp(now) - F.unix_timestamp(ts)) / 86400).cast("int")

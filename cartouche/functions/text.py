@@ -21,11 +21,6 @@ def text(c: Column) -> Column:
     return c.cast("string")
 
 
-def is_empty(c: Column) -> Column:
-    s = text(c)
-    return s.isNull() | (s == "")
-
-
 def filled(c: Column) -> Column:
     """Non-null and not ''; never null itself."""
     return F.coalesce(text(c) != "", F.lit(False))

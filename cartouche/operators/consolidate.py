@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from cartouche.constants import APPLICANT_FIELDS
 from cartouche.functions import classify, dates, score
-from cartouche.functions.text import filled
 from cartouche.operators.merge import _CERT, _fallback, outer_pair
-from cartouche.operators.ordered import pick_first
 
 _DETAIL_TEXT = [
     "serial_number", "brand_name", "fanciful_name", "product_description", "net_contents", "alcohol_content",
@@ -107,9 +105,3 @@ def with_flat_fields(merged: DataFrame) -> DataFrame:
 
 def with_tier(merged: DataFrame) -> DataFrame:
     return merged.withColumn("data_quality_tier", score.quality_tier(F.col("data_completeness_score")))
-
-
-def consolidate(detail: DataFrame, certificate: DataFrame, order: list[Column]) -> DataFrame:
-    """Flat table of a landed pair of views: last row per id and view, merged and tiered."""
-    pick = lambda frame: pick_first(frame.where(filled(F.col("filing_id"))), ["filing_id"], order)
-    return with_tier(merge_flat(flat_detail(pick(detail)), flat_certificate(pick(certificate))))

@@ -126,9 +126,3 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         out = out.unionByName(other, allowMissingColumns=True)
     return out
-
-
-def schema_difference(frame: DataFrame, schema: T.StructType) -> tuple[list[str], list[str]]:
-    """Schema fields the frame lacks, and frame columns the schema lacks."""
-    have, want = set(frame.columns), set(schema.fieldNames())
-    return sorted(want - have), sorted(have - want)
