@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartouche.llm.exchange import NO_ID, bucket_count, bucket_of, groups_of, joined, pack, unpack
 from cartouche.llm.graph import components, forest, stored
@@ -47,6 +46,30 @@ def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+TOKEN_BITS = np.uint64(48)
+TOKEN_BYTES = 6
+
+
+def token_of(hashes: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """48 bits of one hash under the bucket that the other hash chose."""
+    return (bucket.astype(np.uint64) << TOKEN_BITS) | (hashes >> (np.uint64(64) - TOKEN_BITS))
+
+
+def short(batches):
+    """Packed rows whose hashes leave out the bucket, which the row has."""
+    for batch in batches:
+        hashes = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes() for x in batch.column(4)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(hashes, pa.binary())], schema=batch.schema)
+
+
+def unpack_short(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    docs = np.repeat(joined(table["docs"], np.int64), joined(table["counts"], np.int32))
+    hashes = np.zeros((len(docs), 8), np.uint8)
+    hashes[:, :TOKEN_BYTES] = joined(table["hashes"], np.uint8).reshape(-1, TOKEN_BYTES)
+    bucket = np.uint64(table["bucket"][0].as_py()) if table.num_rows else np.uint64(0)
+    return docs, hashes.view(np.uint64).ravel() | (bucket << TOKEN_BITS)
+
+
 def with_empty(batches, schema: pa.Schema):
     for batch in batches:
         rest = [pa.nulls(batch.num_rows, f.type) for f in schema][batch.num_columns:]
@@ -62,12 +85,14 @@ def hash_shingles(length: int, buckets: int):
             words, per_row = hashed_words(batch.column(2), lower=True)
             one, two, sizes = shingle_sets(words, per_row, length)
             row = np.repeat(rows, sizes)
+            bucket = (two % np.uint64(buckets)).astype(np.int32)
+            one = token_of(one, bucket)
             order = np.argsort(one, kind="stable")
             starts = groups_of(one[order])
             many = np.diff(np.r_[starts, len(order)])
             single = np.sort(order[starts])
             # the first row stands for the slice; it is known to be shared if the slice has another
-            yield from with_empty(pack((two[single] % np.uint64(buckets)).astype(np.int32), row[single], one[single], False), DEALT_ARROW)
+            yield from with_empty(short(pack(bucket[single], row[single], one[single], False)), DEALT_ARROW)
             shared = np.sort(order[np.repeat(many > 1, many)])
             yield from with_empty(pack(bucket_of(row[shared], buckets), row[shared], one[shared], True), DEALT_ARROW)
             cuts = np.cumsum(sizes) - sizes
@@ -88,7 +113,7 @@ def mark_shared(buckets: int):
 
     def run(table: pa.Table) -> pa.Table:
         known = np.asarray(table["known"])
-        rows, hashes = unpack(table.filter(pa.array(~known)))
+        rows, hashes = unpack_short(table.filter(pa.array(~known)))
         order = np.argsort(hashes, kind="stable")
         starts = groups_of(hashes[order])
         many = np.diff(np.r_[starts, len(order)])
@@ -194,36 +219,20 @@ class SignatureTree:
         bitmap = np.zeros((len(ids), BITS), bool)
         bitmap[np.repeat(np.arange(len(ids)), lengths), (tokens % np.uint64(BITS)).astype(np.int64)] = True
         # unshared tokens are in no bitmap; they lower the possible overlap
-        levels = [(np.arange(len(ids)), np.arange(1, len(ids) + 1), bitmap, sizes, sizes, lengths)]
-        while len(levels[-1][0]) > 1:
-            first, last, bits, low, high, held = levels[-1]
-            at = np.arange(0, len(first), FANOUT)
-            end = np.minimum(at + FANOUT, len(first)) - 1
+        spare = lengths - bitmap.sum(1)  # tokens that share a bit with another of their set
+        levels = [(bitmap, sizes, sizes, lengths, spare)]
+        while len(levels[-1][1]) > 1:
+            bits, low, high, held, spare = levels[-1]
+            at = np.arange(0, len(low), FANOUT)
             levels.append((
-                first[at], last[end], np.logical_or.reduceat(bits, at), np.minimum.reduceat(low, at),
-                np.maximum.reduceat(high, at), np.maximum.reduceat(held, at),
+                np.logical_or.reduceat(bits, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at),
+                np.maximum.reduceat(held, at), np.maximum.reduceat(spare, at),
             ))
-        self.levels = [(f, e, np.packbits(b, axis=1).view(np.uint64), lo, hi, he) for f, e, b, lo, hi, he in levels]
+        self.levels = [(np.packbits(bits, axis=1).view(np.uint64), *rest) for bits, *rest in levels]
 
     def possible(self, level: int, i: np.ndarray, other: SignatureTree, j: np.ndarray, percent: int) -> np.ndarray:
-        """Which node pairs may hold a link: sizes in ratio, and enough tokens left after those outside the other's bitmap."""
-        _, _, bits, low, high, held = self.levels[level]
-        _, _, bits2, low2, high2, held2 = other.levels[level]
-        ok = (100 * high[i] >= percent * low2[j]) & (100 * high2[j] >= percent * low[i])
-        need = least_overlap(low[i], low2[j], percent)
-        most = np.minimum(held[i], held2[j])
-        ok &= most >= need
-        if level == 0:
-            some = np.flatnonzero(ok)
-            a, b = bits[i[some]], bits2[j[some]]
-            out_a = np.bitwise_count(a & ~b).sum(1, dtype=np.int64)
-            out_b = np.bitwise_count(b & ~a).sum(1, dtype=np.int64)
-            ok[some] = np.minimum(held[i[some]] - out_a, held2[j[some]] - out_b) >= need[some]
-        else:
-            some = np.flatnonzero(ok)
-            shared = np.bitwise_count(bits[i[some]] & bits2[j[some]]).sum(1, dtype=np.int64)
-            ok[some] = shared > 0
-        return ok
+        """Which node pairs may hold a link."""
+        return possible([x[i] for x in self.levels[level]], [x[j] for x in other.levels[level]], percent, level == 0)
 
     def join(self, other: SignatureTree, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """All linked pairs of positions; of a tree with itself, each pair once."""
@@ -275,9 +284,9 @@ class SignatureTree:
         return i, j
 
     def under(self, level: int, node: int) -> np.ndarray:
-        if len(self.levels[level][0]) == len(self.levels[level + 1][0]):
+        if len(self.levels[level][1]) == len(self.levels[level + 1][1]):
             return np.array([node])
-        return np.arange(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level][0])))
+        return np.arange(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level][1])))
 
     def overlaps(self, x: np.ndarray, other: SignatureTree, y: np.ndarray) -> np.ndarray:
         """Intersection sizes of pairs, from a product of incidence matrices over the tokens both sides hold."""
@@ -298,6 +307,25 @@ class SignatureTree:
         return self.tokens[at], np.repeat(np.arange(len(rows)), size)
 
 
+def possible(left, right, percent: int, single: bool) -> np.ndarray:
+    """Node pairs whose size ranges and bitmaps allow the overlap that a link needs.
+
+    The common tokens of two sets lie in bits that both nodes have, one to a bit but for tokens that share a bit with
+    another of their set. Of single sets, each token in a bit that the other lacks is lost as well.
+    """
+    (bits, low, high, held, spare), (bits2, low2, high2, held2, spare2) = left, right
+    need = least_overlap(low, low2, percent)
+    ok = (100 * high >= percent * low2) & (100 * high2 >= percent * low) & (np.minimum(held, held2) >= need)
+    some = np.flatnonzero(ok)
+    both = np.bitwise_count(bits[some] & bits2[some]).sum(1, dtype=np.int64)
+    most = both + np.minimum(spare[some], spare2[some])
+    if single:
+        own, own2 = (np.bitwise_count(b[some]).sum(1, dtype=np.int64) for b in (bits, bits2))
+        most = np.minimum(most, np.minimum(held[some] - own, held2[some] - own2) + both)
+    ok[some] = most >= need[some]
+    return ok
+
+
 def incidence(tokens, rows, n: int, part) -> np.ndarray:
     at = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
     hit = part[at] == tokens
@@ -306,6 +334,33 @@ def incidence(tokens, rows, n: int, part) -> np.ndarray:
     return out
 
 
+NODE = "leaf long, bits binary, low long, high long, held long, spare long"
+
+
+def leaf_nodes(batches):
+    """The root of each leaf's tree: its node one level up."""
+    for batch in batches:
+        rows = []
+        for k in range(batch.num_rows):
+            bits, *rest = tree_of(*(batch.column(m)[k] for m in range(1, 6))).levels[-1]
+            rows.append((batch.column(0)[k].as_py(), bits.tobytes(), *(int(x[0]) for x in rest)))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["leaf", "bits", "low", "high", "held", "spare"])
+
+
+def prune_pairs(percent: int):
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = [batch.column(i) for i in range(12)]
+            node = lambda k: [np.frombuffer(b"".join(x.as_buffer() for x in c[k]), np.uint64).reshape(batch.num_rows, -1), *(np.asarray(c[m]) for m in range(k + 1, k + 5))]
+            keep = possible(node(2), node(7), percent, False)
+            yield pa.RecordBatch.from_arrays([c[0].filter(pa.array(keep)), c[1].filter(pa.array(keep))], names=["a", "b"])
+
+    return run
+
+
 def tree_of(ids, sizes, copies, lengths, tokens) -> SignatureTree:
     return SignatureTree(*(np.frombuffer(x.as_buffer(), np.int64) for x in (ids, sizes, copies, lengths)), np.frombuffer(tokens.as_buffer(), np.uint64))
 
@@ -317,9 +372,8 @@ def join_leaves(percent: int):
         for batch in batches:
             c = batch.columns
             for k in range(batch.num_rows):
-                own = c[0][k].as_py() == c[1][k].as_py()
-                a = tree_of(*(c[m][k] for m in range(2, 7)))
-                b = a if own else tree_of(*(c[m][k] for m in range(7, 12)))
+                a = tree_of(*(c[m][k] for m in range(5)))
+                b = a if len(c) == 5 else tree_of(*(c[m][k] for m in range(5, 10)))
                 i, j = a.join(b, percent)
                 if not len(i):
                     continue
@@ -411,9 +465,14 @@ def link_leaves(reps: DataFrame, percent: int) -> DataFrame:
     leaves = stored(leaves, "leaves")
     sharing = prefix.join(leaf_of, "rep").groupBy("token").agg(F.collect_set("leaf").alias("leaves")).where("size(leaves) > 1")
     pairs = sharing.select("leaves").mapInArrow(pairs_of_leaves, "a long, b long").distinct()
-    pairs = pairs.union(leaves.select(F.col("leaf").alias("a"), F.col("leaf").alias("b")))
+    nodes = stored(leaves.mapInArrow(leaf_nodes, NODE), "nodes")
+    node_of = lambda side: nodes.select(F.col("leaf").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in nodes.columns[1:]])
+    facing = pairs.join(node_of("a"), "a").join(node_of("b"), "b")
+    facing = facing.select("a", "b", *[f"a_{c}" for c in nodes.columns[1:]], *[f"b_{c}" for c in nodes.columns[1:]])
+    pairs = facing.mapInArrow(prune_pairs(percent), "a long, b long")
     names = ["ids", "sizes", "copies", "lengths", "tokens"]
-    left = leaves.select(F.col("leaf").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
-    right = leaves.select(F.col("leaf").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", *[f"a_{c}" for c in names], *[f"b_{c}" for c in names])
-    return both.mapInArrow(join_leaves(percent), "a long, b long, n long")
+    leaf_as = lambda side: leaves.select(F.col("leaf").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in names])
+    both = pairs.join(leaf_as("a"), "a").join(leaf_as("b"), "b").select(*[f"a_{c}" for c in names], *[f"b_{c}" for c in names])
+    found = "a long, b long, n long"
+    alone = leaves.where(F.length("ids") > 8).select(*names).mapInArrow(join_leaves(percent), found)
+    return both.mapInArrow(join_leaves(percent), found).union(alone)
