@@ -155,12 +155,13 @@ def gather_sets(percent: int):
     return run
 
 
-def ordered_tokens(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-    """Tokens in the global order: rare ones by hash, then heavy ones by hash."""
+def ordered_tokens(tokens: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, int]:
+    """Tokens in the global order: rare ones by hash, then heavy ones by hash; and the number of rare ones."""
     if not len(heavy):
-        return tokens
+        return tokens, len(tokens)
     is_heavy = heavy[np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)] == tokens
-    return np.r_[tokens[~is_heavy], tokens[is_heavy]]
+    rare = tokens[~is_heavy]
+    return np.r_[rare, tokens[is_heavy]], len(rare)
 
 
 def prefixes(percent: int, heavy_packed):
@@ -171,12 +172,13 @@ def prefixes(percent: int, heavy_packed):
         for batch in batches:
             out_id, out_token, out_key = [], [], []
             for doc, n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                tokens = ordered_tokens(np.frombuffer(blob.as_buffer(), np.uint64), heavy)
+                tokens, rare = ordered_tokens(np.frombuffer(blob.as_buffer(), np.uint64), heavy)
                 length = n - -(-percent * n // 100) + 1 - (n - len(tokens))
                 take = tokens[:max(length, 1)]
                 out_id.append(np.full(len(take), doc, np.int64))
                 out_token.append(take)
-                out_key.append(np.full(len(take), take[0], np.uint64))
+                # sets that need heavy tokens meet all others that do, so these are gathered by their first heavy one
+                out_key.append(np.full(len(take), take[rare] if rare < len(take) else take[0], np.uint64))
             if out_id:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(out_id)), pa.array(np.concatenate(out_token).view(np.int64)),
