@@ -792,15 +792,16 @@ def error_page_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.drop_error_pages(pages, shortest).select("page_id", ids.content_hash(F.col("html")).alias("content_hash"))
 
 
-def _landed(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """Rendered pages of a view, landed as files first: a page is read, not computed, by the extraction."""
+@lru_cache(maxsize=8)
+def landed_pages(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    """Rendered pages of a view, landed as files once: a page is read, not computed, by the extraction."""
     pages = tables.detail_pages(spark, sf_dir) if view == DETAIL else tables.certificate_pages(spark, sf_dir)
     return scratch.through_storage(pages, f"pages-{view}")
 
 
 @query
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = clean.readable(clean.fetched_ok(_landed(spark, sf_dir, DETAIL)))
+    good, _ = clean.readable(clean.fetched_ok(landed_pages(spark, sf_dir, DETAIL)))
     return extract.detail_fields(good).select(
         "filing_id", "status", "vendor_code", "serial_number", "class_type_code", "origin_code", "brand_name", "fanciful_name",
         "for_sale_in", "formula", "approval_date", "qualifications", "parsing_success",
@@ -819,7 +820,7 @@ def filings_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_company_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.detail_fields(_landed(spark, sf_dir, DETAIL)).select(
+    return extract.detail_fields(landed_pages(spark, sf_dir, DETAIL)).select(
         "filing_id", "plant_registry_number", "applicant_business_name", "address_line_1", "address_line_2",
         "applicant_mailing_address", "contact_first_name", "contact_last_name", "contact_full_name", "applicant_phone",
         "contact_phone_area_code", "contact_phone_exchange", "contact_phone_number", "applicant_fax",
@@ -828,7 +829,7 @@ def page_company_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE))
+    out = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
     s = F.col("signatures")
     return out.select(
         "filing_id", "plant_registry_number", "serial_number", "brand_name", "wine_appellation", "applicant_phone",
@@ -840,7 +841,7 @@ def page_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_checkboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE))
+    out = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
     return out.select(
         "filing_id", F.col("source_of_product")["domestic"].alias("domestic"), F.col("source_of_product")["imported"].alias("imported"),
         F.col("product_type")["wine"].alias("wine"), F.col("application_type").isNull().alias("no_application_type"),
@@ -849,7 +850,7 @@ def page_checkboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE))
+    out = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
     return images.explode_images(out).select(
         "filing_id", F.col("position").cast("bigint").alias("position"), "original_url", "type", F.col("display.w").alias("width"),
         F.col("physical.h").alias("height_inches"), "source_filename",
@@ -858,7 +859,7 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def image_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return images.image_counters(extract.certificate_fields(_landed(spark, sf_dir, CERTIFICATE)), lambda i: i["display"].isNotNull())
+    return images.image_counters(extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE)), lambda i: i["display"].isNotNull())
 
 
 @query
@@ -994,7 +995,7 @@ def landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def id_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids read from the page against ids of the file; orders of one customer segment were filed under another id."""
-    landed = _landed(spark, sf_dir, DETAIL).withColumn(
+    landed = landed_pages(spark, sf_dir, DETAIL).withColumn(
         "file_id", F.when(F.col("receipt_method") == 0, F.concat(F.lit("9"), F.substring("filing_id", 2, 13))).otherwise(F.col("filing_id"))
     )
     found = extract.detail_fields(landed.withColumn("source_file", F.col("file_id")))
