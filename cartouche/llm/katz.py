@@ -19,11 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartouche.llm.exchange import NO_ID, bucket_count, bucket_of, groups_of
-from cartouche.llm.graph import stored
 from cartouche.llm.words import hashed_words, mix, second, slices
 from cartouche.sources.scratch import fresh_path
 
-MOST_WORDS = 1 << 19
+MOST_WORDS = 1 << 18
 LARGEST_DISCOUNTED = 5
 HEAVY_SHARE = 1000
 SHIFT = np.uint64(20)
