@@ -46,6 +46,13 @@ def span_hashes(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return (sums[ends] - sums[starts]) * down[starts]
 
 
+def missing(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Positions of the keys that a sorted array lacks."""
+    if not len(known):
+        return np.arange(len(keys))
+    return np.flatnonzero(known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] != keys)
+
+
 class Pieces:
     """The vocabulary by hash, with each piece's merge order and the two pieces it was merged from."""
 
@@ -179,6 +186,7 @@ class Pieces:
     def learn(self, keys: np.ndarray, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Encode words and remember them."""
         sizes = ends - starts
+        parts, found, lengths = [], [], []
         for n in np.unique(sizes).tolist():
             group = np.flatnonzero(sizes == n)
             for at in range(0, len(group), WORDS_AT_ONCE):
@@ -186,12 +194,18 @@ class Pieces:
                 letters = chars[starts[part][:, None] + np.arange(n)]
                 pieces, counts = self.viterbi(letters)
                 ids, counts = self.with_bytes(letters, pieces, counts)
-                self.word_keys = np.r_[self.word_keys, keys[part]]
-                self.word_at = np.r_[self.word_at, len(self.word_ids) + np.cumsum(counts) - counts]
-                self.word_size = np.r_[self.word_size, counts]
-                self.word_ids = np.r_[self.word_ids, ids]
-        order = np.argsort(self.word_keys)
-        self.word_keys, self.word_at, self.word_size = self.word_keys[order], self.word_at[order], self.word_size[order]
+                parts.append(part)
+                found.append(ids)
+                lengths.append(counts)
+        size = np.concatenate(lengths)
+        at = len(self.word_ids) + np.cumsum(size) - size
+        self.word_ids = np.concatenate([self.word_ids, *found])
+        fresh = keys[np.concatenate(parts)]
+        order = np.argsort(fresh)
+        # two sorted runs, which a stable sort merges
+        both = np.argsort(merged := np.r_[self.word_keys, fresh[order]], kind="stable")
+        self.word_keys = merged[both]
+        self.word_at, self.word_size = np.r_[self.word_at, at[order]][both], np.r_[self.word_size, size[order]][both]
 
     def with_bytes(self, letters: np.ndarray, pieces: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids, with the UTF-8 bytes of each character outside the vocabulary."""
@@ -227,7 +241,7 @@ class Pieces:
         ends = np.r_[open_at[1:], len(chars)][:len(starts)]
         run = starts - open_at
         keys, first, where = np.unique(span_hashes(chars, starts, ends), return_index=True, return_inverse=True)
-        fresh = np.flatnonzero(~np.isin(keys, self.word_keys, assume_unique=True))
+        fresh = missing(keys, self.word_keys)
         if len(self.word_keys) + len(fresh) > MOST_CACHED:
             self.forget()
             fresh = np.arange(len(keys))
