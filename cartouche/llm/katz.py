@@ -1,11 +1,12 @@
 """LM scoring: a Katz backoff bigram model with Good-Turing discounts and exactly normalised backoff weights.
 
-Three scans of the texts. The first counts words into the table of unigrams. The ``MOST_WORDS`` commonest words are the
-model's vocabulary; every other word belongs to the class of unknown words, which has its own distribution over words, so
-the model stays a distribution over all words at any corpus size. The second scan counts bigrams of vocabulary words, one
-partial count per slice of text, into a table partitioned by bucket; a common history is spread over all buckets. The
-third deals every token's bigram to its bucket, where its probability is the discounted count, or else the history's
-backoff weight times the next order's probability. Only arrays over the vocabulary, of fixed size, reach every task.
+Every training word is in the vocabulary, and every bigram counts, at any corpus size. The texts are read once, into slices:
+a slice holds its distinct words by 64-bit hash and its tokens as places in that list. Slices deal their words to buckets,
+which answer each slice with the counts of its words; then they deal their distinct bigrams to the bucket of the history,
+which answers with the bigrams' counts and each history's sums. A common history is spread over all buckets and its sums
+are added up. A slice then has all it needs to score its texts. Words that no training text holds are one class. The driver
+keeps counts of counts, totals and the sums of common histories (fewer than ``HEAVY_SHARE``), so nothing on it or broadcast
+grows with the vocabulary.
 """
 
 from __future__ import annotations
@@ -19,20 +20,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartouche.llm.exchange import NO_ID, bucket_count, bucket_of, groups_of
+from cartouche.llm.graph import stored
 from cartouche.llm.words import hashed_words, mix, second, slices
 from cartouche.sources.scratch import fresh_path
 
-MOST_WORDS = 1 << 18
 LARGEST_DISCOUNTED = 5
 HEAVY_SHARE = 1000
-SHIFT = np.uint64(20)
-MASK = np.uint64((1 << 20) - 1)
+WORD_SHIFT = np.uint64(16)  # a bigram's word has 48 bits, under its history's 64
 END = np.uint64(0x45D9F3B3335B369)  # stands for the end of a text, and as a history for its beginning
+UNKNOWN = np.uint64(0x1D8E4E27C47D124F)  # stands for the words outside the vocabulary
 SLICE = 4 << 20
 
-COUNTS = "bucket int, kind int, keys binary, counts binary"
-COUNTS_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-WORD, BIGRAM, TEXT = 0, 1, 2
+ANSWER, COUNTED, HEAVY = 0, 1, 2
+REPLY = "kind int, slice long, bucket int, counts binary, more binary"
+REPLY_ARROW = pa.schema([("kind", pa.int32()), ("slice", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("more", pa.binary())])
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -52,83 +53,132 @@ def gather(column, dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
-def pack_counts(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray, kind: int):
-    """One row per bucket; keys in order within it, as differences."""
-    if not len(keys):
-        return
-    order = np.lexsort((keys, bucket))
-    bucket, keys, counts = bucket[order], keys[order], counts[order]
-    cuts = np.r_[groups_of(bucket), len(bucket)]
-    rows = range(len(cuts) - 1)
-    yield pa.RecordBatch.from_arrays([
-        pa.array(bucket[cuts[:-1]], pa.int32()), pa.array(np.full(len(rows), kind, np.int32)),
-        pa.array([squeeze(np.diff(keys[cuts[i]:cuts[i + 1]], prepend=np.uint64(0))) for i in rows], pa.binary()),
-        pa.array([squeeze(counts[cuts[i]:cuts[i + 1]].astype(np.int64)) for i in rows], pa.binary()),
-    ], schema=COUNTS_ARROW)
-
-
-def unpack_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [np.cumsum(expand(x.as_buffer(), np.uint64), dtype=np.uint64) for x in table["keys"]]
-    return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), gather(table["counts"], np.int64)
+def discounts(of_count: dict[int, int]) -> np.ndarray:
+    """Katz's Good-Turing discount ratios of counts 0 to LARGEST_DISCOUNTED + 1; larger counts are kept whole.
 
+    A ratio outside (0, 1), as sparse tables give, is replaced by the one of absolute discounting.
+    """
+    k = LARGEST_DISCOUNTED
+    n = np.array([of_count.get(r, 0) for r in range(k + 2)], float)
+    d = np.ones(k + 2)
+    absolute = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+    spare = (k + 1) * n[k + 1] / n[1] if n[1] else 1.0
+    for r in range(1, k + 1):
+        ratio = ((r + 1) * n[r + 1] / (r * n[r]) - spare) / (1 - spare) if n[r] and spare < 1 else 0.0
+        d[r] = ratio if 0 < ratio < 1 else 1 - min(max(absolute, 0.1), 0.9) / r
+    return d
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    starts = groups_of(keys)
-    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
+def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return counts * d[np.minimum(counts, len(d) - 1)]
 
-def merge_counts(kind: int):
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table["bucket"][0].as_py()
-        keys, counts = summed(*unpack_counts(table))
-        return pa.Table.from_batches(list(pack_counts(np.full(len(keys), bucket), keys, counts, kind)), COUNTS_ARROW)
 
-    return run
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return (second(words) % np.uint64(buckets)).astype(np.int32)
 
 
+def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that gathers buckets and keeps what was before within each; where each bucket starts, and the end."""
+    order = np.argsort(bucket, kind="stable")
+    return order, np.r_[groups_of(bucket[order]), len(bucket)]
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of each text with its end, and the number of tokens of each text."""
     words, per_row = hashed_words(texts, lower=True)
     return np.insert(words, np.cumsum(per_row), END), per_row + 1
 
 
-def count_words(buckets: int):
+META = np.dtype([("doc_id", "i8"), ("held_out", "i8"), ("training", "i8"), ("n_tokens", "i8")])
+CORPUS = "slice long, trained long, meta binary, tokens binary, words binary, counts binary"
+CORPUS_ARROW = pa.schema([
+    ("slice", pa.int64()), ("trained", pa.int64()), ("meta", pa.binary()), ("tokens", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
+])
+
+
+def cut_corpus(batches):
+    """One row per slice: its texts, their tokens as places in its list of words, and the words' counts in training texts."""
+    for batch in slices(batches, "text", SLICE):
+        rows, ids, held, training = (np.asarray(batch.column(i)) for i in range(4))
+        words, per_row = tokens_of(batch.column(4))
+        words, at, uses = np.unique(words, return_inverse=True, return_counts=True)
+        order = np.argsort(-uses, kind="stable")  # small numbers for common words
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        tokens = place[at]
+        counts = np.bincount(tokens[np.repeat(training == 1, per_row)], minlength=len(words)).astype(np.int64)
+        meta = np.rec.fromarrays([ids, held, training, per_row], dtype=META)
+        yield batch_of([(int(rows[0]), int(training.sum()), squeeze(meta.view(np.int64)), squeeze(tokens), squeeze(words[order]), squeeze(counts))], CORPUS_ARROW)
+
+
+DEALT_WORDS = "bucket int, slice long, words binary, counts binary"
+DEALT_WORDS_ARROW = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
+
+
+def deal_words(buckets: int):
     def run(batches):
-        for batch in slices(batches, "text", SLICE):
-            words, counts = np.unique(tokens_of(batch.column(0))[0], return_counts=True)
-            yield from pack_counts(word_bucket(words, buckets), words, counts, WORD)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, counts = expand(batch.column(1)[k].as_buffer(), np.uint64), expand(batch.column(2)[k].as_buffer(), np.int64)
+                bucket = word_bucket(words, buckets)
+                order, cuts = by_bucket(bucket)
+                yield batch_of([
+                    (int(bucket[order[a]]), batch.column(0)[k].as_py(), squeeze(words[order[a:b]]), squeeze(counts[order[a:b]]))
+                    for a, b in zip(cuts[:-1], cuts[1:])], DEALT_WORDS_ARROW)
 
     return run
 
 
+def counted(totals: np.ndarray, most: int | None = None) -> tuple:
+    """How many of the totals have each value, as a row of REPLY."""
+    values, types = np.unique(totals[(totals > 0) & (totals <= (most or totals.max(initial=0)))], return_counts=True)
+    return COUNTED, None, None, squeeze(types.astype(np.int64)), squeeze(values.astype(np.int64))
+
+
+def total_words(table: pa.Table) -> pa.Table:
+    """The counts of a bucket's words over all slices, for each slice its own, in the order that it sent."""
+    sent = [expand(x.as_buffer(), np.uint64) for x in table["words"]]
+    words, at = np.unique(np.concatenate(sent), return_inverse=True)
+    totals = np.bincount(at, gather(table["counts"], np.int64), len(words)).astype(np.int64)
+    ends = np.cumsum([len(x) for x in sent])
+    out = [(ANSWER, s, b, squeeze(totals[at[e - len(x):e]]), None) for s, b, x, e in zip(
+        table["slice"].to_pylist(), table["bucket"].to_pylist(), sent, ends)]
+    return pa.Table.from_batches([batch_of([*out, counted(totals)], REPLY_ARROW)])
+
+
+def spread_counts(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(gather(batch.column(i), np.int64)) for i in (1, 0)], names=["count", "types"])
+
+
+def count_of_counts(replies: DataFrame) -> dict[int, int]:
+    rows = replies.where(F.col("kind") == COUNTED).select("counts", "more").mapInArrow(spread_counts, "count long, types long")
+    return {r["count"]: r["types"] for r in rows.groupBy("count").agg(F.sum("types").alias("types")).collect()}
+
+
 @dataclass
-class Vocabulary:
-    """The commonest words by hash with their counts, then the class of all others; ``d`` are discounts by count."""
+class Words:
+    """The law of single words: totals, discounts ``d``, and the least count of a word of the vocabulary."""
 
-    words: np.ndarray
-    counts: np.ndarray
     total: int
     types: int
+    least: int
     rest_total: int
     rest_types: int
-    log_p: np.ndarray = None
-    heavy: np.ndarray = None
+    room: int
+    unknown: float
+    d: np.ndarray
 
-    @property
-    def unknown(self) -> int:
-        return len(self.words)
+    def known(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (counts >= self.least) | (words == END)  # a text's end is always a word of the model
 
-    def ids(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(words), self.unknown, np.int64)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, at, self.unknown)
+    def p(self, counts: np.ndarray) -> np.ndarray:
+        """Probabilities by count; a count below zero is the class of all words outside the vocabulary."""
+        return np.where(counts < 0, self.unknown, discounted(np.maximum(counts, 0), self.d) / self.room)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.types + 1)))
@@ -137,257 +187,179 @@ class Vocabulary:
         return np.log10((counts + 0.5) / (self.rest_total + 0.5 * (self.rest_types + 1)))
 
 
-def discounts(of_count: dict[int, int]) -> np.ndarray:
-    """Katz's Good-Turing discount ratios of counts 0 to LARGEST_DISCOUNTED + 1; larger counts are kept whole.
-
-    A ratio outside (0, 1), as sparse tables give, is replaced by the one of absolute discounting.
-    """
-    k = LARGEST_DISCOUNTED
-    n = np.array([of_count.get(r, 0) for r in range(k + 2)], float)
-    d = np.ones(k + 2)
-    absolute = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
-    spare = (k + 1) * n[k + 1] / n[1] if n[1] else 1.0
-    for r in range(1, k + 1):
-        ratio = ((r + 1) * n[r + 1] / (r * n[r]) - spare) / (1 - spare) if n[r] and spare < 1 else 0.0
-        d[r] = ratio if 0 < ratio < 1 else 1 - min(max(absolute, 0.1), 0.9) / r
-    return d
-
-
-def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
-    return counts * d[np.minimum(counts, len(d) - 1)]
-
-
-def count_of_counts(batches):
-    for batch in batches:
-        values, n = np.unique(gather(batch.column(0), np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(n, pa.int64())], names=["count", "types"])
+def law_of_words(of_count: dict[int, int], ends: int, most_words: int | None) -> Words:
+    """``ends`` is the count of text ends, which stay words of the model whatever ``most_words`` is."""
+    counts = np.array(sorted(of_count, reverse=True), np.int64)
+    types = np.array([of_count[c] for c in counts.tolist()], np.int64)
+    least = 1
+    if most_words is not None and len(counts):
+        fits = np.cumsum(types) <= most_words
+        least = int(counts[fits][-1]) if fits.any() else int(counts[0]) + 1
+    total, kinds, d = int((counts * types).sum()), int(types.sum()), discounts(of_count)
+    held, n = counts[counts >= least], types[counts >= least]
+    if 0 < ends < least:
+        held, n = np.r_[held, ends], np.r_[n, 1]
+    share = float((discounted(held, d) * n).sum())
+    room = total if total - share > 1e-9 * max(total, 1) else total + 1
+    return Words(total, kinds, least, total - int((held * n).sum()), kinds - int(n.sum()), room, max(1 - share / room, 0.0), d)
 
 
-def commonest(least: int):
-    def run(batches):
-        for batch in batches:
-            words, counts = unpack_counts(pa.Table.from_batches([batch]))
-            some = counts >= least
-            yield pa.RecordBatch.from_arrays([pa.array(words[some].view(np.int64)), pa.array(counts[some])], names=["word", "n"])
-
-    return run
-
+@dataclass
+class Bigrams:
+    """The distinct bigrams of a slice, by bucket and history; ``at`` is the bigram of each token."""
 
-def vocabulary(unigrams: DataFrame, most_words: int) -> Vocabulary:
-    rows = unigrams.select("counts").mapInArrow(count_of_counts, "count long, types long").groupBy("count").agg(F.sum("types").alias("types")).toPandas()
-    rows = rows.sort_values("count", ascending=False)
-    counts, types = rows["count"].to_numpy(np.int64), rows["types"].to_numpy(np.int64)
-    fits = np.cumsum(types) <= most_words
-    least = int(counts[fits][-1]) if fits.any() else (int(counts[0]) + 1 if len(counts) else 1)
-    found = unigrams.select("keys", "counts").mapInArrow(commonest(least), "word long, n long").toPandas()
-    words = found["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    words, held = words[order], found["n"].to_numpy(np.int64)[order]
-    if END not in words:  # a text's end is always a word of the model
-        words, held = np.insert(words, at := np.searchsorted(words, END), END), np.insert(held, at, 0)
-    total, kinds = int((counts * types).sum()), int(types.sum())
-    out = Vocabulary(words, held, total, kinds, total - int(held.sum()), kinds - int((held > 0).sum()))
-    of_count = dict(zip(counts.tolist(), types.tolist()))
-    share = discounted(held, discounts(of_count))
-    room = total if total - share.sum() > 1e-9 * max(total, 1) else total + 1
-    with np.errstate(divide="ignore"):
-        out.log_p = np.log10(np.r_[share / room, max(1 - share.sum() / room, 0)])
-    out.heavy = np.r_[held, out.rest_total] * HEAVY_SHARE > total
-    return out
-
-
-def bigrams(vocab: Vocabulary, words: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Key of each token with its history; ids of the tokens."""
-    ids = vocab.ids(words).astype(np.uint64)
+    words: np.ndarray
+    counts: np.ndarray
+    tokens: np.ndarray
+    at: np.ndarray
+    training: np.ndarray
+    bucket: np.ndarray
+    cuts: np.ndarray
+    history: np.ndarray
+    heavy: np.ndarray
+    word: np.ndarray
+    word_count: np.ndarray
+    meta: np.ndarray
+
+
+def bigrams(law: Words, corpus: pa.Table, answers: pa.Table, buckets: int) -> Bigrams:
+    """Of one slice, the same whenever it is called."""
+    words, tokens = expand(corpus["words"][0].as_buffer(), np.uint64), expand(corpus["tokens"][0].as_buffer(), np.int32)
+    meta = expand(corpus["meta"][0].as_buffer(), np.int64).view(META)
+    order, _ = by_bucket(word_bucket(words, buckets))
+    counts = np.empty(len(words), np.int64)
+    counts[order] = gather(answers.sort_by("bucket")["counts"], np.int64)
+    n = len(words)
+    ids = np.where(law.known(words, counts), np.arange(n), n)[tokens]
+    starts = np.cumsum(meta["n_tokens"]) - meta["n_tokens"]
     history = np.empty_like(ids)
     history[1:] = ids[:-1]
-    history[np.cumsum(per_row) - per_row] = np.uint64(np.searchsorted(vocab.words, END))
-    return (history << SHIFT) | ids, ids
+    history[starts] = np.flatnonzero(words == END)[0]
+    pairs, at = np.unique(history * (n + 1) + ids, return_inverse=True)
+    training = np.bincount(at[np.repeat(meta["training"] == 1, meta["n_tokens"])], minlength=len(pairs)).astype(np.int64)
+    h, w = np.divmod(pairs, n + 1)
+    keys = np.r_[words, UNKNOWN]
+    heavy = (np.r_[counts, law.rest_total] * HEAVY_SHARE > law.total)[h]
+    # all bigrams of a history in one bucket, but those of a common history anywhere
+    bucket = bucket_of(np.where(heavy, mix(keys[h]) ^ second(keys[w]), keys[h]), buckets)
+    order, cuts = by_bucket(bucket)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return Bigrams(words, counts, tokens, place[at], training[order], bucket[order], cuts, keys[h[order]], heavy[order],
+                   keys[w[order]] >> WORD_SHIFT, np.r_[counts, -1][w[order]], meta)
+
+
+DEALT = "bucket int, slice long, histories binary, heavy binary, runs binary, words binary, word_counts binary, counts binary"
+DEALT_ARROW = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), *[(c, pa.binary()) for c in (
+    "histories", "heavy", "runs", "words", "word_counts", "counts")]])
+
+
+def deal_bigrams(law: Words, buckets: int):
+    def run(corpus: pa.Table, answers: pa.Table) -> pa.Table:
+        x, out = bigrams(law, corpus, answers, buckets), []
+        for a, b in zip(x.cuts[:-1], x.cuts[1:]):
+            starts = groups_of(x.history[a:b])
+            out.append((
+                int(x.bucket[a]), corpus["slice"][0].as_py(), squeeze(x.history[a:b][starts]), squeeze(x.heavy[a:b][starts].astype(np.uint8)),
+                squeeze(np.diff(np.r_[starts, b - a])), squeeze(x.word[a:b]), squeeze(x.word_count[a:b]), squeeze(x.training[a:b])))
+        return pa.Table.from_batches([batch_of(out, DEALT_ARROW)])
 
+    return run
 
-def bigram_bucket(vocab: Vocabulary, keys: np.ndarray, buckets: int) -> np.ndarray:
-    """All bigrams of a history in one bucket, but those of a common history anywhere."""
-    history = keys >> SHIFT
-    return bucket_of(np.where(vocab.heavy[history.astype(np.int64)], mix(keys), history), buckets)
 
+#: Of a history: its count, how many words follow it 1 to LARGEST_DISCOUNTED times, and the next order's probability of all that do.
+SUMS = LARGEST_DISCOUNTED + 2
 
-def count_bigrams(shared, buckets: int):
-    def run(batches):
-        vocab = shared.value
-        for batch in slices(batches, "text", SLICE):
-            keys, counts = np.unique(bigrams(vocab, *tokens_of(batch.column(0)))[0], return_counts=True)
-            yield from pack_counts(bigram_bucket(vocab, keys, buckets), keys, counts, BIGRAM)
 
-    return run
+def total_bigrams(law: Words):
+    """Counts of a bucket's bigrams and sums of their histories, for each slice its own, in the order that it sent."""
 
+    def run(table: pa.Table) -> pa.Table:
+        sent = [expand(x.as_buffer(), np.uint64) for x in table["histories"]]
+        sent_words = [expand(x.as_buffer(), np.uint64) for x in table["words"]]
+        every = np.concatenate(sent)
+        history, word = np.repeat(every, gather(table["runs"], np.int64)), np.concatenate(sent_words)
+        order = np.lexsort((word, history))
+        history, word = history[order], word[order]
+        starts = np.flatnonzero(np.r_[True, (history[1:] != history[:-1]) | (word[1:] != word[:-1])])
+        totals = np.add.reduceat(gather(table["counts"], np.int64)[order], starts)
+        mine = np.empty(len(order), np.int64)
+        mine[order] = np.repeat(totals, np.diff(np.r_[starts, len(order)]))
+        lower = np.where(totals > 0, law.p(gather(table["word_counts"], np.int64)[order[starts]]), 0.0)
+        history = history[starts]
+        starts = groups_of(history)
+        history = history[starts]
+        sums = np.stack([np.add.reduceat(v, starts).astype(float) for v in (
+            totals, *[(totals == r).astype(np.int64) for r in range(1, LARGEST_DISCOUNTED + 1)], lower)])
+        out, a = [], 0
+        for s, b, h, w in zip(table["slice"].to_pylist(), table["bucket"].to_pylist(), sent, sent_words):
+            out.append((ANSWER, s, b, squeeze(mine[a:a + len(w)]), squeeze(sums[:, np.searchsorted(history, h)].ravel())))
+            a += len(w)
+        common = np.unique(every[gather(table["heavy"], np.uint8) == 1])
+        out.append((HEAVY, None, None, squeeze(common.view(np.int64)), squeeze(sums[:, np.searchsorted(history, common)].ravel())))
+        return pa.Table.from_batches([batch_of([*out, counted(totals, LARGEST_DISCOUNTED + 1)], REPLY_ARROW)])
 
-def history_sums(shared, d: np.ndarray):
-    """Of each history of a bucket: discounted counts, and the next order's probability, over the words seen after it."""
+    return run
 
-    def run(batches):
-        vocab = shared.value
-        for batch in batches:
-            keys, counts = unpack_counts(pa.Table.from_batches([batch]))
-            if not len(keys):
-                continue
-            history = (keys >> SHIFT).astype(np.int64)
-            starts = groups_of(history)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(history[starts]), pa.array(np.add.reduceat(discounted(counts, d), starts)),
-                pa.array(np.add.reduceat(10.0 ** vocab.log_p[(keys & MASK).astype(np.int64)], starts)),
-            ], names=["history", "seen", "lower"])
 
-    return run
+def spread_sums(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            sums = expand(batch.column(1)[k].as_buffer(), np.float64).reshape(SUMS, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(expand(batch.column(0)[k].as_buffer(), np.int64)), *map(pa.array, sums)],
+                                             names=["history", *[f"s{i}" for i in range(SUMS)]])
 
 
-@dataclass
-class Backoff:
-    d: np.ndarray
-    denominator: np.ndarray
-    log_weight: np.ndarray
+def heavy_sums(replies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Common histories, of which there are fewer than HEAVY_SHARE, with their sums over all buckets."""
+    names = [f"s{i}" for i in range(SUMS)]
+    rows = replies.where(F.col("kind") == HEAVY).select("counts", "more").mapInArrow(spread_sums, "history long, " + ", ".join(f"{n} double" for n in names))
+    rows = rows.groupBy("history").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    keys = rows["history"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], rows[names].to_numpy(float)[order].T
 
 
-def backoff(shared, table: DataFrame, d: np.ndarray) -> Backoff:
-    """Denominators and backoff weights by history, so that each history's probabilities sum to one.
+def backoff(sums: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Denominators and logarithms of backoff weights, so that each history's probabilities sum to one.
 
     A history without discounted counts gets one count more, a history after which every word was seen has no backoff.
     """
-    vocab = shared.value
-    sums = table.select("keys", "counts").mapInArrow(history_sums(shared, d), "history long, seen double, lower double")
-    sums = sums.groupBy("history").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toPandas()
-    at = sums["history"].to_numpy(np.int64)
-    seen, lower = np.zeros(vocab.unknown + 1), np.zeros(vocab.unknown + 1)
-    seen[at], lower[at] = sums["seen"], sums["lower"]
-    count = np.r_[vocab.counts, vocab.rest_total].astype(float)
+    count, lower = sums[0], sums[-1]
+    seen = count - sum(sums[r] * (r - discounted(np.int64(r), d)) for r in range(1, LARGEST_DISCOUNTED + 1))
     denominator = np.where(count - seen > 1e-9 * np.maximum(count, 1), count, count + 1)
     left, room = 1 - seen / denominator, 1 - lower
     full = room < 1e-12
-    denominator[full & (seen > 0)] = seen[full & (seen > 0)]
+    denominator = np.where(full & (seen > 0), seen, denominator)
     with np.errstate(divide="ignore", invalid="ignore"):
-        weight = np.where(full, 0.0, left / room)
-        return Backoff(d, denominator, np.log10(weight))
-
-
-SENT = "bucket int, kind int, rows binary, counts binary, keys binary, more binary"
-SENT_ARROW = pa.schema([
-    ("bucket", pa.int32()), ("kind", pa.int32()), ("rows", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()), ("more", pa.binary()),
-])
-
-
-def send(bucket: np.ndarray, rows: np.ndarray, keys: np.ndarray, kind: int):
-    """One row per bucket: texts in order, the number of tokens of each, their keys."""
-    if not len(keys):
-        return
-    order = np.argsort(bucket, kind="stable")
-    bucket, rows, keys = bucket[order], rows[order], keys[order]
-    cuts = np.r_[groups_of(bucket), len(bucket)]
-    out = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        starts = groups_of(rows[a:b])
-        out.append((int(bucket[a]), kind, squeeze(rows[a:b][starts]), squeeze(np.diff(np.r_[starts, b - a])), squeeze(keys[a:b]), None))
-    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SENT_ARROW)], schema=SENT_ARROW)
-
-
-def send_tokens(shared, buckets: int):
-    def run(batches):
-        vocab = shared.value
-        for batch in slices(batches, "text", SLICE):
-            rows, ids, held = (np.asarray(batch.column(i)) for i in range(3))
-            words, per_row = tokens_of(batch.column(3))
-            keys, word_ids = bigrams(vocab, words, per_row)
-            row = np.repeat(rows, per_row)
-            yield from send(bigram_bucket(vocab, keys, buckets), row, keys, BIGRAM)
-            rare = np.flatnonzero(word_ids == np.uint64(vocab.unknown))
-            yield from send(word_bucket(words[rare], buckets), row[rare], words[rare], WORD)
-            counts = np.r_[vocab.counts, 0][word_ids.astype(np.int64)]
-            common = word_ids != np.uint64(vocab.unknown)
-            starts = np.cumsum(per_row) - per_row
-            base = np.add.reduceat(np.where(common, vocab.base(counts), 0.0), starts)
-            known = np.add.reduceat((common & (counts > 0)).astype(np.int64), starts)
-            more = np.rec.fromarrays([ids, held, per_row.astype(np.int64), known, base], dtype=META)
-            at = bucket_of(rows, buckets)
-            order = np.argsort(at, kind="stable")
-            for a, b in zip(cuts := np.r_[groups_of(at[order]), len(at)], cuts[1:]):
-                some = order[a:b]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([at[some[0]]], pa.int32()), pa.array([TEXT], pa.int32()), pa.array([squeeze(rows[some])], pa.binary()),
-                    pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([more[some].tobytes()], pa.binary()),
-                ], schema=SENT_ARROW)
-
-    return run
-
-
-META = np.dtype([("doc_id", "i8"), ("held_out", "i8"), ("n_tokens", "i8"), ("n_known", "i8"), ("base", "f8")])
-PART = np.dtype([("row", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
-PARTS = "bucket int, rows binary, more binary, parts binary"
-PARTS_ARROW = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("more", pa.binary()), ("parts", pa.binary())])
-
-
-def sums_by_row(table: pa.Table, known, base, score) -> np.ndarray:
-    """Partial sums of each text of a bucket; the values belong to the sent tokens in order."""
-    rows, counts = gather(table["rows"], np.int64), gather(table["counts"], np.int64)
-    if not len(rows):
-        return np.zeros(0, PART)
-    starts = np.cumsum(counts) - counts
-    order = np.argsort(rows, kind="stable")
-    at = groups_of(rows[order])
-    totals = [np.add.reduceat(np.add.reduceat(v, starts)[order], at) for v in (known, base, score)]
-    return np.rec.fromarrays([rows[order][at], *totals], dtype=PART)
-
-
-def look_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, counts[at], 0)
-
-
-def score_tokens(shared, weights, buckets: int):
-    def run(model: pa.Table, sent: pa.Table) -> pa.Table:
-        vocab, katz = shared.value, weights.value
-        kinds, held = np.asarray(sent["kind"]), np.asarray(model["kind"])
-        part = lambda t, k, kind: t.filter(pa.array(k == kind))
-        out = []
-        tokens = part(sent, kinds, BIGRAM)
-        wanted = gather(tokens["keys"], np.uint64)
-        count = look_up(*unpack_counts(part(model, held, BIGRAM)), wanted)
-        history, word = (wanted >> SHIFT).astype(np.int64), (wanted & MASK).astype(np.int64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = np.log10(discounted(count, katz.d) / katz.denominator[history])
-            score = np.where(count > 0, seen, katz.log_weight[history] + vocab.log_p[word])
-        out.append(sums_by_row(tokens, np.zeros(len(wanted), np.int64), np.zeros(len(wanted)), score))
-        tokens = part(sent, kinds, WORD)
-        count = look_up(*unpack_counts(part(model, held, WORD)), gather(tokens["keys"], np.uint64))
-        out.append(sums_by_row(tokens, (count > 0).astype(np.int64), vocab.base(count), vocab.within_unknown(count)))
-        parts = np.concatenate(out)
-        at = bucket_of(parts["row"], buckets)
-        order = np.argsort(at, kind="stable")
-        cuts = np.r_[groups_of(at[order]), len(at)]
-        rows = [(int(at[order[a]]), None, None, zstandard.ZstdCompressor(level=1).compress(parts[order[a:b]].tobytes())) for a, b in zip(cuts[:-1], cuts[1:])]
-        texts = part(sent, kinds, TEXT)
-        rows += [(int(b), r.as_py(), m.as_py(), None) for b, r, m in zip(np.asarray(texts["bucket"]), texts["rows"], texts["more"])]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), PARTS_ARROW)], schema=PARTS_ARROW) if rows else PARTS_ARROW.empty_table()
-
-    return run
+        return denominator, np.log10(np.where(full, 0.0, left / room))
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def add_up(train_tokens: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = gather(table["rows"], np.int64)
-        more = np.frombuffer(b"".join(x.as_buffer() for x in table["more"] if x.is_valid), META)
-        raw = b"".join(zstandard.ZstdDecompressor().decompress(memoryview(x.as_buffer())) for x in table["parts"] if x.is_valid)
-        parts = np.sort(np.frombuffer(raw, PART), order=["row", "score", "base"])  # one order of addition, so one result
-        order = np.argsort(rows)
-        at = order[np.searchsorted(rows[order], parts["row"])]
-        total = lambda name: np.bincount(at, parts[name], len(rows))
+def score_slice(law: Words, d: np.ndarray, heavy: tuple[np.ndarray, np.ndarray], buckets: int):
+    def run(corpus: pa.Table, replies: pa.Table) -> pa.Table:
+        of_bigrams = replies["more"].is_valid()
+        x = bigrams(law, corpus, replies.filter(replies["more"].is_null()), buckets)
+        answers = replies.filter(of_bigrams).sort_by("bucket")
+        count = gather(answers["counts"], np.int64)
+        sums = np.concatenate([expand(v.as_buffer(), np.float64).reshape(SUMS, -1) for v in answers["more"]], 1)
+        starts = np.flatnonzero(np.r_[True, (x.history[1:] != x.history[:-1]) | (x.bucket[1:] != x.bucket[:-1])])
+        common = x.heavy[starts]
+        sums[:, common] = heavy[1][:, np.searchsorted(heavy[0], x.history[starts][common])]
+        denominator, log_weight = (np.repeat(v, np.diff(np.r_[starts, len(count)])) for v in backoff(sums, d))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(count > 0, np.log10(discounted(count, d) / denominator), log_weight + np.log10(law.p(x.word_count)))
+        within = np.where(law.known(x.words, x.counts), 0.0, law.within_unknown(x.counts))
+        meta = x.meta
+        starts = np.cumsum(meta["n_tokens"]) - meta["n_tokens"]
         return pa.table({
-            "doc_id": pa.array(more["doc_id"], pa.int64()), "held_out": pa.array(more["held_out"] == 1),
-            "n_tokens": pa.array(more["n_tokens"], pa.int64()), "n_known": pa.array(more["n_known"] + total("known").astype(np.int64), pa.int64()),
-            "train_tokens": pa.array(np.full(len(rows), train_tokens, np.int64)),
-            "base_score": pa.array(more["base"] + total("base")), "score": pa.array(total("score")),
+            "doc_id": pa.array(meta["doc_id"], pa.int64()), "held_out": pa.array(meta["held_out"] == 1), "n_tokens": pa.array(meta["n_tokens"], pa.int64()),
+            "n_known": pa.array(np.add.reduceat((x.counts > 0).astype(np.int64)[x.tokens], starts)),
+            "train_tokens": pa.array(np.full(len(meta), law.total, np.int64)),
+            "base_score": pa.array(np.add.reduceat(law.base(x.counts)[x.tokens], starts)),
+            "score": pa.array(np.add.reduceat(score[x.at] + within[x.tokens], starts)),
         })
 
     return run
@@ -398,36 +370,37 @@ def remainder(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 5
 
 
-def katz_scores(documents: DataFrame, training: Column, held_out: Column, most_words: int = MOST_WORDS) -> DataFrame:
+def katz_scores(documents: DataFrame, training: Column, held_out: Column, most_words: int | None = None) -> DataFrame:
     """Score every text by a model of the texts where ``training`` holds.
 
     Returns one row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. Only
     ``doc_id``, ``text`` and the columns of the two conditions are read. A null or empty text is one token, its end.
     Repeated rows count and are scored one by one; null ids stay null. An empty table gives an empty result; without
-    training texts every word is unknown.
+    training texts every word is unknown. The vocabulary is every training word; a caller who gives ``most_words`` gets a
+    model of that many of the commonest words (whole classes of equal counts), all others being one class.
     """
     spark = documents.sparkSession
-    buckets = bucket_count(spark, 1)
-    train = documents.where(training).select("text")
-    unigrams = stored_by_bucket(train.mapInArrow(count_words(buckets), COUNTS).groupBy("bucket").applyInArrow(merge_counts(WORD), COUNTS), "unigrams")
-    shared = spark.sparkContext.broadcast(vocabulary(unigrams, most_words))
-    pairs = train.mapInArrow(count_bigrams(shared, buckets), COUNTS).groupBy("bucket").applyInArrow(merge_counts(BIGRAM), COUNTS)
-    table = stored_by_bucket(pairs, "bigrams")
-    few = table.select("counts").mapInArrow(count_of_counts, "count long, types long").where(F.col("count") <= LARGEST_DISCOUNTED + 1)
-    of_count = {r["count"]: r["types"] for r in few.groupBy("count").agg(F.sum("types").alias("types")).collect()}
-    weights = spark.sparkContext.broadcast(backoff(shared, table, discounts(of_count)))
+    buckets = bucket_count(spark)
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id"),
-        held_out.cast("long").alias("held_out"), "text")
-    sent = rows.mapInArrow(send_tokens(shared, buckets), SENT)
-    model = unigrams.unionByName(table).select("bucket", "kind", "keys", "counts")
-    parts = model.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(score_tokens(shared, weights, buckets), PARTS)
-    scored = parts.groupBy("bucket").applyInArrow(add_up(shared.value.total), RESULT)
+        F.coalesce(held_out, F.lit(False)).cast("long").alias("held_out"), F.coalesce(training, F.lit(False)).cast("long").alias("training"), "text")
+    corpus = stored(rows.mapInArrow(cut_corpus, CORPUS), "corpus")
+    dealt = corpus.select("slice", "words", "counts").mapInArrow(deal_words(buckets), DEALT_WORDS)
+    words = stored_by_kind(dealt.groupBy("bucket").applyInArrow(total_words, REPLY), "words")
+    ends = corpus.agg(F.sum("trained")).first()[0] or 0
+    law = law_of_words(count_of_counts(words), ends, most_words)
+    answers = words.where(F.col("kind") == ANSWER).drop("kind")
+    texts = corpus.select("slice", "meta", "tokens", "words")
+    pairs = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(deal_bigrams(law, buckets), DEALT)
+    pairs = stored_by_kind(pairs.groupBy("bucket").applyInArrow(total_bigrams(law), REPLY), "bigrams")
+    answers = answers.union(pairs.where(F.col("kind") == ANSWER).drop("kind"))
+    score = score_slice(law, discounts(count_of_counts(pairs)), heavy_sums(pairs), buckets)
+    scored = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, RESULT)
     return scored.withColumn("doc_id", F.expr(f"nullif(doc_id, {NO_ID})"))
 
 
-def stored_by_bucket(frame: DataFrame, name: str) -> DataFrame:
-    """A table of n-gram counts, partitioned by bucket, in the shared folder."""
+def stored_by_kind(frame: DataFrame, name: str) -> DataFrame:
+    """Replies in the shared folder, partitioned by kind."""
     path = fresh_path(frame.sparkSession, f"llm-{name}")
-    frame.write.partitionBy("bucket").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    frame.write.partitionBy("kind").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)

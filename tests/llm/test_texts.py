@@ -179,3 +179,11 @@ def test_katz_is_normalised_and_matches_recursion(spark, most_words):
 @pytest.mark.parametrize("operator", [jaccard_classes, remove_repeats, lambda d: katz.katz_scores(d, F.lit(True), F.lit(False))])
 def test_empty_tables(spark, operator):
     assert operator(frame(spark, [(1, "a")]).limit(0)).count() == 0
+
+
+def test_katz_keeps_every_word(spark):
+    """A vocabulary above the old limit of 2^18 words: a rare word's bigram is scored as one, not as an unknown word's."""
+    rows = [(i, " ".join(f"x{i}y{j} z{i}y{j}" for j in range(1000))) for i in range(140)] + [(1000, "x5y5 z5y5"), (1001, "x5y5 z7y7")]
+    got = {r.doc_id: r for r in katz.katz_scores(frame(spark, rows), F.col("doc_id") < 1000, F.col("doc_id") >= 1000).collect()}
+    assert got[1000].n_known == got[1001].n_known == 3 and got[1000].base_score == pytest.approx(got[1001].base_score)
+    assert got[1000].score > got[1001].score + 3
