@@ -1,11 +1,12 @@
 """Embedding near-dedup: iterative quantisation, multi-index Hamming tables, reranking with the original vectors.
 
 1. Vectors equal in every component are one class; only its smallest id goes on.
-2. On a bounded sample, ``rotations`` rotations are learned (iterative quantisation of the unit vectors from different
-   random starts): alternately binarise and solve the orthogonal Procrustes problem, so each bit is balanced and close to
-   its projection. Every class gets the codes of all rotations.
-3. Codes are cut into substrings, each an exact-match table. Two vectors at the threshold differ in few bits, so they
-   agree in some substring; substrings get longer with the logarithm of the number of vectors.
+2. On a bounded sample, rotations are learned (iterative quantisation of the unit vectors from different random starts):
+   alternately binarise and solve the orthogonal Procrustes problem, so each bit is balanced and close to its projection.
+   Every class gets the codes of all rotations, end to end.
+3. The codes are cut into substrings, each an exact-match table. Two vectors at the threshold differ in few bits, so they
+   agree in some substring. Substrings get longer with the logarithm of the number of vectors, and with them the number of
+   rotations grows, so that the share of pairs at the threshold itself that meet in some table stays above ``RECALL``.
 4. The vectors of a bucket are compared in double precision, by blocks. A pair that agrees in several tables belongs to
    the first of them, so that it is counted once and no pair has to leave a task: a block gives the number of links of
    each vector and a spanning forest. A large bucket is cut into chunks, and every two chunks are a task of their own.
@@ -27,6 +28,8 @@ from cartouche.llm.vectors import matrix
 THRESHOLD = 0.95
 SAMPLE_ROWS = 20_000
 ROTATIONS = 4
+RECALL = 0.97
+PROBES = 2000
 CHUNK_ROWS = 1024
 BLOCK = 512
 
@@ -56,14 +59,37 @@ def substring_bits(vectors: int, width: int) -> int:
 
 
 def substrings(x: np.ndarray, learned, bits: int) -> np.ndarray:
-    """Value of each table's substring of each vector."""
-    columns = []
+    """Value of each table's substring of each vector; the last substring ends with the last bit, so every bit is in one."""
+    code = np.concatenate([((x - centre) @ rotation >= 0).astype(np.int64) for centre, rotation in learned], 1)
     weights = np.int64(1) << np.arange(bits, dtype=np.int64)
-    for centre, rotation in learned:
-        code = ((x - centre) @ rotation >= 0).astype(np.int64)
-        for a in range(0, code.shape[1] - bits + 1, bits):
-            columns.append(code[:, a:a + bits] @ weights)
-    return np.stack(columns, 1)
+    last = code.shape[1] - bits
+    return np.stack([code[:, a:a + bits] @ weights for a in [*range(0, last, bits), last]], 1)
+
+
+def rotations_needed(bits: int, width: int, threshold: float) -> int:
+    """Rotations with which a pair at the threshold, whose bits differ with probability angle / pi, meets at RECALL."""
+    agree = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    tables = np.log1p(-RECALL) / np.log1p(-agree) if agree < 1 else 1
+    return int(np.ceil(np.ceil(tables) * bits / width))
+
+
+def expected_recall(sample: np.ndarray, learned, bits: int, threshold: float, seed: int = 6) -> float:
+    """Share of sample vectors that meet, in some table, a random vector at exactly the threshold from them."""
+    x = np.resize(sample, (PROBES, sample.shape[1]))
+    aside = np.random.default_rng(seed).normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.maximum(np.sqrt((aside ** 2).sum(1, keepdims=True)), 1e-12)
+    near = threshold * x + np.sqrt(max(1 - threshold ** 2, 0)) * aside
+    return float((substrings(x, learned, bits) == substrings(near, learned, bits)).any(1).mean())
+
+
+def enough_rotations(sample: np.ndarray, bits: int, threshold: float, least: int = ROTATIONS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """At least ``least`` rotations, as many as the threshold needs; more (up to four times) while the sample falls short."""
+    first = max(least, rotations_needed(bits, sample.shape[1], threshold))
+    learned = learn_rotations(sample, first)
+    while len(learned) < 4 * first and expected_recall(sample, learned, bits, threshold) < RECALL:
+        learned += learn_rotations(sample, 1, seed=5 + len(learned))
+    return learned
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -171,7 +197,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample_row
 
     Returns one row per input row: ``vec_id, n_links`` (other rows linked directly), ``component_id`` (smallest ``vec_id``
     reachable by links, itself included), ``kept`` (``vec_id`` is ``component_id``). No link below the threshold is made;
-    links at it are found unless the codes disagree in every table, which the tests measure. Null, empty and zero vectors
+    links at it are found unless the codes disagree in every table, which the tests measure: ``rotations`` is the least
+    number of rotations, and more are learned where the table's size, width and threshold need them. Null, empty and zero vectors
     and those with a null or non-finite component link with nothing. Repeated rows link with each other. A null id
     is larger than any other and never kept. Only ``vec_id`` and ``embedding`` are read. An empty table gives an empty result.
     """
@@ -190,7 +217,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample_row
     if sample is None:
         found = spark.createDataFrame([], "a long, b long, n long")
     else:
-        shared = spark.sparkContext.broadcast((learn_rotations(sample, rotations), substring_bits(n, sample.shape[1])))
+        bits = substring_bits(n, sample.shape[1])
+        shared = spark.sparkContext.broadcast((enough_rotations(sample, bits, threshold, rotations), bits))
         found = stored(link_tables(reps, shared, threshold), "vector-links")
     component = components(found.where("n = 0").select("a", "b"))
     links = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))

@@ -47,6 +47,20 @@ def test_near_duplicates(monkeypatch, rows, vectors):
     assert itq.near_duplicates(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10**4, 10**5, 10**6, 10**7])
+def test_recall_holds_as_tables_grow(n):
+    """Pairs at the threshold meet in some table with the bits that n vectors take."""
+    rng = np.random.default_rng(8)
+    sample = itq.unit(rng.normal(size=(3000, 64)))
+    bits = itq.substring_bits(n, 64)
+    learned = itq.enough_rotations(sample, bits, 0.95)
+    x = itq.unit(rng.normal(size=(4000, 64)))
+    aside = rng.normal(size=x.shape)
+    aside = itq.unit(aside - (aside * x).sum(1, keepdims=True) * x)
+    y = 0.95 * x + np.sqrt(1 - 0.95**2) * aside
+    assert (itq.substrings(x, learned, bits) == itq.substrings(y, learned, bits)).any(1).mean() >= 0.95
+
+
 def test_top_k(rows, vectors):
     held = {r[0]: np.floor(np.array(r[1], "f8") * 1024).astype(int) for r in rows if r[0] is not None and usable(r[1])}
     want = []
