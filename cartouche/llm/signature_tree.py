@@ -6,7 +6,9 @@
 2. Equal sets are one class; only its smallest id goes on.
 3. Sets whose similarity reaches the threshold share a shingle among the first ``n - ceil(threshold * n) + 1`` in any fixed
    order (unshared first, then rare, then common shingles, by hash). Classes are gathered into leaves by their first
-   shared shingle, at most about ``LEAF_ROWS`` to a leaf, and leaves that share a prefix shingle become leaf pairs.
+   shared shingle, at most about ``LEAF_ROWS`` to a leaf, and leaves that share a prefix shingle become leaf pairs. The
+   leaves of a shingle are cut into blocks of about ``BLOCK_LEAVES``, and every two blocks are a cell of their own, so that
+   no task holds all leaves of a shingle or all pairs of them.
 4. Each leaf pair is joined by a dual traversal of two signature trees: a node has the OR of its token bitmaps and its
    range of set sizes, and a node pair is dropped when its largest possible overlap misses the threshold. Surviving
    pairs of end nodes are counted exactly by a product of their incidence matrices.
@@ -29,6 +31,8 @@ WORDS = 5
 PERCENT = 80
 LEAF_ROWS = 256
 LEAF_TOKENS = 1 << 18
+BLOCK_LEAVES = 128
+MOST_PAIRS = 1 << 20
 HEAVY_SHARE = 1000
 HEAVY_LEAST = 256
 BITS = 2048
@@ -391,18 +395,50 @@ def join_leaves(percent: int):
     return run
 
 
-def pairs_of_leaves(batches):
-    """Every pair of the leaves that hold a token, once a batch."""
+def distinct_pairs(held: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.concatenate(held, 1)
+    a, b = pairs[:, np.lexsort(pairs[::-1])]
+    fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    return pa.RecordBatch.from_arrays([pa.array(a[fresh], pa.int64()), pa.array(b[fresh], pa.int64())], names=["a", "b"])
+
+
+def pairs_of_cells(batches):
+    """Every leaf pair of each cell, the smaller leaf first; once among about MOST_PAIRS."""
     for batch in batches:
-        left, right = [], []
-        for leaves in batch.column(0):
-            x = np.sort(np.asarray(leaves.values))
-            i, j = np.triu_indices(len(x), 1)
-            left.append(x[i])
-            right.append(x[j])
-        if left:
-            pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+        held, n = [], 0
+        for left, right, own in zip(*batch.columns):
+            x, y = np.asarray(left.values), np.asarray(right.values)
+            if own.as_py():
+                i, j = np.triu_indices(len(x), 1)
+                x, y = x[i], x[j]
+            else:
+                x, y = np.repeat(x, len(y)), np.tile(y, len(x))
+            held.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+            n += len(x)
+            if n >= MOST_PAIRS:
+                yield distinct_pairs(held)
+                held, n = [], 0
+        if n:
+            yield distinct_pairs(held)
+
+
+def leaf_cells(holds: DataFrame) -> DataFrame:
+    """``left, right, own``: two blocks of the leaves that hold a token, or one with itself; ``holds`` has ``token, leaf`` once.
+
+    Numbers of blocks are powers of two and cells are dealt by the token's smallest leaf, so that tokens which the same
+    leaves hold, as those of near copies, have like cells in one task, where their pairs are merged.
+    """
+    weight = holds.groupBy("token").agg(F.count("*").alias("n"), F.min("leaf").alias("first")).where("n > 1").select(
+        "token", "first", F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") / BLOCK_LEAVES, F.lit(1.0))))).cast("int").alias("blocks"))
+    rows = holds.join(weight, "token").withColumn("block", F.pmod(F.xxhash64("leaf"), "blocks").cast("int"))
+    # a leaf goes to every cell that its block is in
+    cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: F.struct(
+        F.least(c, F.col("block")).alias("block_a"), F.greatest(c, F.col("block")).alias("block_b"), (F.col("block") <= c).alias("is_left")))
+    dealt = rows.select("token", "leaf", "first", F.explode(cell).alias("c")).select("token", "leaf", "first", "c.*")
+    dealt = dealt.repartition("first", "block_a", "block_b")
+    side = lambda left: F.collect_list(F.when(F.col("is_left") == left, F.col("leaf")))
+    cells = dealt.groupBy("first", "block_a", "block_b", "token").agg(side(True).alias("left"), side(False).alias("right"))
+    return cells.sortWithinPartitions("first", "block_a", "block_b").select("left", "right", (F.col("block_a") == F.col("block_b")).alias("own"))
 
 
 def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -465,8 +501,8 @@ def link_leaves(reps: DataFrame, percent: int) -> DataFrame:
     leaves = reps.join(leaf_of, "rep").groupBy("leaf").applyInArrow(
         pack_leaf, "leaf long, ids binary, sizes binary, copies binary, lengths binary, tokens binary")
     leaves = stored(leaves, "leaves")
-    sharing = prefix.join(leaf_of, "rep").groupBy("token").agg(F.collect_set("leaf").alias("leaves")).where("size(leaves) > 1")
-    pairs = sharing.select("leaves").mapInArrow(pairs_of_leaves, "a long, b long").distinct()
+    holds = stored(prefix.join(leaf_of, "rep").select("token", "leaf").distinct(), "token-leaves")
+    pairs = leaf_cells(holds).mapInArrow(pairs_of_cells, "a long, b long").distinct()
     nodes = stored(leaves.mapInArrow(leaf_nodes, NODE), "nodes")
     node_of = lambda side: nodes.select(F.col("leaf").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in nodes.columns[1:]])
     facing = pairs.join(node_of("a"), "a").join(node_of("b"), "b")

@@ -87,6 +87,27 @@ def test_signature_tree_prunes_no_link():
     assert got == want and len(want) > 100
 
 
+def test_no_task_holds_all_leaves_of_a_token(spark, monkeypatch):
+    """A hot token is cut into cells of bounded size, and its cells have every leaf pair; so do tokens of few leaves."""
+    monkeypatch.setattr(signature_tree, "BLOCK_LEAVES", 32)
+    leaves = {1: range(1, 1001), 2: range(1, 1001), 3: [-5, 7], 4: [9], 5: [*range(980, 1010)], 6: range(500, 550)}
+    holds = spark.createDataFrame([(t, x) for t, many in leaves.items() for x in many], "token long, leaf long").repartition(5)
+    cells = signature_tree.leaf_cells(holds)
+    assert max(len(r.left) + len(r.right) for r in cells.collect()) <= 4 * 32
+    got = [tuple(r) for r in cells.mapInArrow(signature_tree.pairs_of_cells, "a long, b long").distinct().collect()]
+    assert sorted(got) == sorted({(a, b) for many in leaves.values() for a in many for b in many if a < b})
+
+
+def test_pairs_are_sent_on_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(signature_tree, "MOST_PAIRS", 1000)
+    side = lambda at: pa.array([[*range(at, at + 20)]] * 10, pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([side(0), side(100), pa.array([False] * 10)], names=["left", "right", "own"])
+    parts = list(signature_tree.pairs_of_cells([batch]))
+    assert [p.num_rows for p in parts] == [400] * 4  # equal pairs of three, three, three and one cells are merged
+
+
 def test_remove_repeats(spark):
     rng = random.Random(1)
     shared = [" ".join(rng.choice("abcdef") for _ in range(70)) for _ in range(3)]
