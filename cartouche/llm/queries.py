@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartouche.llm.hnsw import approximate_neighbours
 from cartouche.llm.itq import near_duplicates
 from cartouche.llm.katz import katz_scores, remainder
+from cartouche.llm.lexical import lexical_search
 from cartouche.llm.packing import pack_documents
 from cartouche.llm.personal import find_personal
 from cartouche.llm.pieces import decode_ids, encode_texts
+from cartouche.llm.repair import audit_conversations, damaged
 from cartouche.llm.sharding import SHARDS, shard_rows
 from cartouche.llm.shipping import ship
 from cartouche.llm.signature_tree import jaccard_classes
@@ -111,3 +114,28 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in sequences of at most 1024."""
     return pack_documents(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repairs; conversations that lost every row as empty ones."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = audit_conversations(damaged(rows)).withColumnRenamed("conv_id", "__found")
+    every = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    out = every.join(found, F.col("conv_id").eqNullSafe(F.col("__found")), "left").drop("__found")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty near rows of large inner product for every twentieth vector, from a graph index."""
+    return approximate_neighbours(embeddings(spark, sf_dir))

@@ -71,9 +71,9 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the number of words of each row."""
-    inside = IS_WORD[data]
+    inside = is_word[data]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
