@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartouche.constants import CERTIFICATE, DETAIL
+from cartouche.constants import CERTIFICATE, CHECKBOXES, DETAIL
 from cartouche.functions import classify, dates, ids, numbers, score, text
 from cartouche.operators import (
     checks, clean, dims, extract, facts, images, lookup, merge, ordered, stats, structure, upsert,
@@ -796,7 +796,7 @@ def error_page_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_pages(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """Rendered pages of a view, landed as files once: a page is read, not computed, by the extraction."""
     pages = tables.detail_pages(spark, sf_dir) if view == DETAIL else tables.certificate_pages(spark, sf_dir)
-    return scratch.through_storage(pages, f"pages-{view}")
+    return scratch.through_storage(pages, f"pages-{view}", files.PAGES_A_FILE)
 
 
 @query
@@ -804,7 +804,8 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = clean.readable(clean.fetched_ok(landed_pages(spark, sf_dir, DETAIL)))
     return extract.detail_fields(good).select(
         "filing_id", "status", "vendor_code", "serial_number", "class_type_code", "origin_code", "brand_name", "fanciful_name",
-        "for_sale_in", "formula", "approval_date", "qualifications", "parsing_success",
+        "for_sale_in", "formula", "approval_date", "type_of_application", "grape_varietals", "total_bottle_capacity", "wine_vintage",
+        "qualifications", F.size("extraction_errors").cast("bigint").alias("errors"), "parsing_success",
     )
 
 
@@ -842,10 +843,7 @@ def page_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_checkboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
-    return out.select(
-        "filing_id", F.col("source_of_product")["domestic"].alias("domestic"), F.col("source_of_product")["imported"].alias("imported"),
-        F.col("product_type")["wine"].alias("wine"), F.col("application_type").isNull().alias("no_application_type"),
-    )
+    return out.select("filing_id", *[F.col(group)[name].alias(name) for group, name, *_ in CHECKBOXES])
 
 
 @query

@@ -654,7 +654,8 @@ WHERE sha256(html) NOT IN ('50fa048f9cf8200c3d82d60add59b3b1f78f9e3ebc67f9395051
 base("page_fields", """
 SELECT filing_id, status, vendor_code, serial_number, class_type_code, origin_code, NULLIF(brand_name,'') AS brand_name, NULLIF(fanciful_name,'') AS fanciful_name,
   CAST(NULL AS VARCHAR) AS for_sale_in, CAST(NULL AS VARCHAR) AS formula, strftime(approval_date,'%Y-%m-%d') AS approval_date,
-  'Filed ' || strftime(filing_date,'%m/%d/%Y') || ' as is. Café — 😀' AS qualifications, true AS parsing_success FROM d""")
+  'LABEL APPROVAL' AS type_of_application, 'VINE ' || vendor_code AS grape_varietals, serial_number || ' ml' AS total_bottle_capacity, CAST(year(partition_date) AS VARCHAR) AS wine_vintage,
+  'Filed ' || strftime(filing_date,'%m/%d/%Y') || ' as is. Café — 😀 [1] Ž – © 2' AS qualifications, CAST(0 AS BIGINT) AS errors, true AS parsing_success FROM d""")
 base("page_company_block", """
 SELECT filing_id, 'DC-I-' || vendor_code AS plant_registry_number, applicant_business_name || ' & Sons' AS applicant_business_name,
   a AS address_line_1, 'UNIT 7' AS address_line_2, a || ', UNIT 7' AS applicant_mailing_address, 'ROY' AS contact_first_name, 'CLOUD' AS contact_last_name,
@@ -665,8 +666,11 @@ base("page_certificates", """
 SELECT filing_id, plant_registry_number, serial_number, CAST(NULL AS VARCHAR) AS brand_name, wine_appellation,
   printf('1 (555) %03d-%04d', first_supp % 1000, first_supp % 10000) AS applicant_phone, '' AS applicant_email, strftime(application_date,'%m-%d-%Y') AS application_date,
   strftime(approval_date,'%b %-d, %Y') AS approval_date, applicant_business_name, 'Dock ' || first_supp || ' North Road, Harbour' AS applicant_mailing_address, status,
-  'TABLE RED WINE' AS class_type_code, '81' AS ct_code, '51' AS or_code, '(Application was e-filed)' AS signature, finished = 1 AS signed, CASE WHEN finished = 1 THEN CAST(193 AS INT) END AS signature_width FROM c""")
-base("page_checkboxes", "SELECT filing_id, flag >= 2 AS domestic, flag < 2 AS imported, finished = 1 AS wine, true AS no_application_type FROM c")
+  'DISTILLED SPIRITS' AS class_type_code, '81' AS ct_code, '51' AS or_code, '(Application was e-filed)' AS signature, finished = 1 AS signed, CASE WHEN finished = 1 THEN CAST(193 AS INT) END AS signature_width FROM c""")
+base("page_checkboxes", """
+SELECT filing_id, flag >= 2 AS domestic, flag < 2 AS imported, finished = 1 AS wine, flag >= 2 AS distilled_spirits, false AS malt_beverage,
+  flag = 1 AS certificate_of_label_approval, flag = 2 AS certificate_of_exemption, flag = 3 AS distinctive_liquor_bottle_approval,
+  finished = 0 AS resubmission_after_rejection FROM c""")
 base("page_images", """
 SELECT filing_id, CAST(0 AS BIGINT) AS position, '/publicViewAttachment.do?filename=front ' || serial_number || '.jpg&filetype=l' AS original_url, 'Brand (front)' AS type, CAST(308 AS INT) AS width,
   3.7::DOUBLE AS height_inches, 'front ' || serial_number || '.jpg' AS source_filename FROM c

@@ -30,8 +30,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def through_storage(frame: DataFrame, name: str) -> DataFrame:
-    """Write the frame and read it back: a stage boundary that survives lost executors."""
+def through_storage(frame: DataFrame, name: str, rows_a_file: int | None = None) -> DataFrame:
+    """Write the frame and read it back: a stage boundary that survives lost executors.
+
+    ``rows_a_file`` bounds files by rows where rows compress so well that files of the usual size hold hours of work.
+    """
     path = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("maxRecordsPerFile", rows_a_file or 0).parquet(path)
     return frame.sparkSession.read.parquet(path)

@@ -205,13 +205,15 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = detail_raw(spark, sf_dir)
     c = F.col
     html = F.concat(
-        F.lit("<html><!-- <td><strong>Status:</strong> draft</td> --><body><table>"),
+        F.lit("<html><!-- <td><strong>Status:</strong> draft</td> --><body><p><strong>Type of Application:</strong> LABEL APPROVAL</p><table>"),
         _cells(_bold("TTB ID:", c("filing_id")), _bold("Status:", c("status"))),
         _cells(F.concat(F.lit("<p>"), _bold("Vendor Code:", c("vendor_code")), F.lit("</p>")), _bold("Serial #:", c("serial_number"))),
         _cells(_bold("Class/Type Code:", c("class_type_code")), _bold("Origin Code:", c("origin_code"))),
         _cells(_bold("Brand Name:", c("brand_name")), _bold("Fanciful Name:", c("fanciful_name"))),
         _cells(_bold("For Sale In:", F.lit(None)), _bold("Formula :", F.lit(None))),
-        _cells(_bold("Approval Date:", c("approval_date"))),
+        _cells(_bold("Approval Date:", c("approval_date")), _bold("Grape Varietal(s):", F.concat(F.lit("VINE "), c("vendor_code")))),
+        _cells(_bold("Total Bottle Capacity:", F.concat(c("serial_number"), F.lit(" ml"))), _bold("Wine Vintage:", F.year("partition_date"))),
+        _cells(_bold("Plant Registry/Basic Permit/Brewers No (Other):", F.lit("BW-9"))),
         F.lit("</table><table>"),
         _cells(F.concat(F.lit("DC-I-"), c("vendor_code"))),
         _cells(F.concat(c("applicant_business_name"), F.lit(" &amp; Sons"))),
@@ -223,7 +225,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cells("Fax", "main desk", F.concat(F.lit("("), F.lpad(c("vendor_code"), 3, "0"), F.lit(") 555-0199"))),
         F.lit("</table><table><tr><td><strong>Qualifications:</strong> Filed "),
         c("filing_date"),
-        F.lit(" as is. Caf&eacute; &#x2014; &#128512;</td></tr></table></body></html>"),
+        F.lit(" as is. Caf&eacute; &#x2014; &#128512; &lsqb;1&rsqb; &Zcaron; &#150; &copy 2</td></tr></table></body></html>"),
     )
     return raw.select("filing_id", "view", "sequence", "receipt_method", "partition_date", "status_code", html.alias("html"))
 
@@ -255,7 +257,14 @@ def certificate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _field(19, "DATE ISSUED", c("approval_date")),
         F.lit('</tr><tr><td><img src="/box.gif" alt="'), box(c("applicant_signature_present")), F.lit('"> Domestic</td>'),
         F.lit('<td><img src="/box.gif" alt="'), box(~c("applicant_signature_present")), F.lit('"> Imported</td>'),
-        F.lit('<td><img src="/box.gif" alt="'), box(c("authorized_signature_present")), F.lit('"> WINE</td></tr>'),
+        F.lit('<td><img src="/box.gif" alt="'), box(c("authorized_signature_present")), F.lit('"> WINE</td></tr><tr>'),
+        *[part for words, on in (
+            ("DISTILLED SPIRITS", c("applicant_signature_present")), ("MALT BEVERAGE", F.lit(False)),
+            *[(words, F.trim("certificate_type") == words) for words in ("CERTIFICATE OF LABEL APPROVAL", "CERTIFICATE OF EXEMPTION")],
+            ("DISTINCTIVE LIQUOR BOTTLE APPROVAL", c("certificate_type").contains("DISTINCTIVE")),
+            ("RESUBMISSION AFTER REJECTION", ~c("authorized_signature_present")),
+        ) for part in (F.lit('<td><img src="/box.gif" alt="'), box(on), F.lit(f'"> {words}</td>'))],
+        F.lit("</tr>"),
         F.lit("<tr><td><div>8. NAME AND ADDRESS OF APPLICANT</div>(Required)<br>"),
         c("applicant_business_name"), F.lit("<br>"), c("applicant_mailing_address"), F.lit("<br>Harbour</td></tr>"),
         F.lit('<tr><td><img src="/publicViewAttachment.do?filename=front '), c("serial_number"),

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartouche.functions import classify, dates, ids, lenient, numbers, score, text
-from cartouche.operators import extract
 from cartouche.registry import TransformRegistry, registry, rules_for
 from cartouche.schemas import schemas
 
@@ -99,25 +98,3 @@ def test_tier_drops_one_step(spark):
     frame = spark.createDataFrame(rows, "filing_id string, applicant_business_name string, applicant_mailing_address string, cola_brand_name string, "
                                   "cola_product_description string, cola_approval_date string, filing_id_valid boolean, product_class_validation_is_valid boolean, s double")
     assert [r[0] for r in frame.select(score.quality_tier(F.col("s"))).collect()] == ["premium", "standard", "basic", "basic"]
-
-
-@pytest.mark.parametrize("markup,shown", [
-    ("x&#99999;y", "x\U0001869fy"), ("&#x27;", "&apos;"), ("&#39;", "&apos;"), ("&acirc;&eacute;&deg;&mdash;", "âé°—"),
-    ("&#128512; &#x1F600;", "😀 😀"), ("&#0;&#xD800;&#1114112;", "\ufffd" * 3), ("&lt;b&gt; &amp;amp;", "&lt;b&gt; &amp;amp;"),
-    ("AT&T &unknown; & &#; a&#x;", "AT&T &unknown; & &#; a&#x;"), ("&nbsp;", "\u00a0"), ("&#0060;", "&lt;"),
-])
-def test_character_references(spark, markup, shown):
-    frame = spark.createDataFrame([(markup,)], "c string")
-    assert frame.select(extract.decode_characters(F.col("c"))).first()[0] == shown
-
-
-@pytest.mark.parametrize("cell,status", [
-    ("<strong>Status:</strong> APPROVED", "APPROVED"), ("<p><strong>Status:</strong> APPROVED</p>", "APPROVED"),
-    ("see <p><strong>Status:</strong> APPROVED</p> more", "APPROVED"), ("<b><strong>Status:</strong></b> APPROVED", None),
-    ("see <strong>Status:</strong> APPROVED", None),
-])
-def test_label_reads_its_own_element(spark, cell, status):
-    page = f"<table><tr><td>{cell}</td><td>other</td></tr></table>"
-    frame = spark.createDataFrame([(page,)], "html string")
-    bolds = extract.bold_pieces(extract.pieces_of(extract.prepared(F.col("html")), "td"))
-    assert frame.select(extract.text_after_strong(bolds, "Status:")).first()[0] == status
