@@ -18,13 +18,14 @@ from cartouche.functions import classify, dates, ids, numbers, score, text
 from cartouche.operators import (
     checks, clean, dims, extract, facts, images, lookup, merge, ordered, stats, structure, upsert,
 )
-from cartouche.plans.filings import Filings, from_pages
+from cartouche.plans.filings import Filings, from_pages, write_outcomes
 from cartouche.registry import registry, rules_for, legacy_classification
 from cartouche.schemas import schemas
-from cartouche.sources import files, grids, scratch, tables
+from cartouche.sources import files, grids, published, scratch, tables
 from cartouche.sources.tables import filing_id, table
 from cartouche.streaming import ingest, monitor
 
+PUBLISHED_BUCKETS = 8
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -812,13 +813,73 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def filings_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages of both views through the whole daily plan."""
-    detail, certificate = tables.detail_pages(spark, sf_dir), tables.certificate_pages(spark, sf_dir)
-    path = scratch.fresh_path(spark, "landed-pages")
-    files.write_landed(detail.unionByName(certificate, allowMissingColumns=True), path)
-    return from_pages(files.scan_parquet(spark, path)).select(
+    pages = landed_pages(spark, sf_dir, DETAIL).unionByName(landed_pages(spark, sf_dir, CERTIFICATE), allowMissingColumns=True)
+    marked = write_outcomes(pages, scratch.fresh_path(spark, "outcomes"))
+    return from_pages(marked).select(
         "filing_id", "has_detail", "has_certificate", "brand_name", "status", "applicant_business_name")
 
 
+@query
+def filings_from_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' pages landed as HTML files, compacted day by day, through the whole daily plan."""
+    root, compact, outcomes = (scratch.fresh_path(spark, name) for name in ("html", "compact", "outcomes"))
+    files.land_html(tables.supplier_pages(spark, sf_dir), root)
+    files.compact_days(spark, root, compact)
+    marked = write_outcomes(files.scan_parquet(spark, compact), outcomes)
+    return from_pages(marked).select(
+        "filing_id", "has_detail", "has_certificate", "brand_name", "status", "cert_status", "applicant_business_name", "partition_date")
+
+
+def _web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The web pages as landings of three days."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 3).cast("int"))
+    return table(spark, sf_dir, "pages").select(
+        filing_id(F.col("page_id")).alias("filing_id"), F.lit(DETAIL).alias("view"), day.alias("partition_date"),
+        (F.col("page_id") % 4).cast("int").alias("receipt_method"), "html")
+
+
+@query
+def landed_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages landed as HTML files, compacted, and read back; ``listed`` tells the files of the last day, scanned alone."""
+    root, target = scratch.fresh_path(spark, "html"), scratch.fresh_path(spark, "compact")
+    pages = _web_pages(spark, sf_dir)
+    files.land_html(pages, root)
+    files.compact_days(spark, root, target)
+    last = str(pages.agg(F.max("partition_date")).first()[0])
+    listed = files.scan_landed_html(spark, root, [last]).select("filing_id", F.lit(True).alias("listed"))
+    return files.scan_parquet(spark, target).join(listed, "filing_id", "left").select(
+        "filing_id", "view", "partition_date", "receipt_method", F.col("size_bytes").cast("bigint").alias("size_bytes"), F.md5("html").alias("html_md5"),
+        F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered pages of both views with every kind of fault, and filings of one receipt method landed twice."""
+    pages = landed_pages(spark, sf_dir, DETAIL).unionByName(landed_pages(spark, sf_dir, CERTIFICATE), allowMissingColumns=True)
+    fault = F.substring("filing_id", 5, 1)  # a digit of the day
+    spoiled = pages.select(
+        F.when(fault != "2", F.col("filing_id")).alias("filing_id"), F.when(fault == "1", "leaflet").otherwise(F.col("view")).alias("view"),
+        "sequence", "status_code", F.when(F.col("receipt_method") != 3, F.col("html")).alias("html"), "receipt_method", F.lit(1).alias("landing"))
+    again = spoiled.where("receipt_method = 1").withColumn("sequence", F.col("sequence") - 1).withColumn("landing", F.lit(0))
+    return spoiled.unionByName(again)
+
+
+@query
+def page_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that extraction does not take, and why."""
+    marked = write_outcomes(_spoiled(spark, sf_dir), scratch.fresh_path(spark, "outcomes"))
+    return marked.where(F.col("outcome") != "kept").select(
+        "filing_id", F.col("view").cast("string").alias("view"), "landing", F.col("outcome").cast("string").alias("outcome"),
+        F.array_join("extraction_errors", "; ").alias("errors"))
+
+
+@query
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by view and outcome, and how many landed in all."""
+    marked = write_outcomes(_spoiled(spark, sf_dir), scratch.fresh_path(spark, "outcomes"))
+    counts = marked.groupBy(F.col("view").cast("string").alias("view"), F.col("outcome").cast("string").alias("outcome")).agg(F.count("*").alias("pages"))
+    return counts.withColumn("landed", marked.agg(F.count("*").alias("landed")).scalar())
+
+
 @query
 def page_company_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.detail_fields(landed_pages(spark, sf_dir, DETAIL)).select(
@@ -930,6 +991,57 @@ def upsert_facts(f: Filings) -> DataFrame:
     return reduce(DataFrame.unionByName, merged)
 
 
+def _restated(f: Filings) -> tuple[DataFrame, DataFrame]:
+    """Product facts of an old day, and those from 1998 on restated on a new one."""
+    old = upsert.export(f.product_facts, "fact_products", F.lit("1998-12-31"))
+    late = f.product_facts.where(F.col("partition_date") >= "1998-01-01")
+    return old, upsert.export(late, "fact_products", F.lit("2001-12-31")).withColumn("serial_number", F.lit("restated"))
+
+
+FACT_COLUMNS = ["filing_id", "company_key", "serial_number", "partition_date"]
+
+
+@modelled
+def merge_published(f: Filings) -> DataFrame:
+    """Product facts published by bucket, a delta merged in place twice."""
+    old, new = _restated(f)
+    facts = published.PublishedTable(scratch.fresh_path(f.spark, "published"), ["filing_id"], PUBLISHED_BUCKETS)
+    facts.create(old.select(*FACT_COLUMNS))
+    for _ in range(2):
+        facts.merge(new.select(*FACT_COLUMNS))
+    return facts.read(f.spark)
+
+
+@modelled
+def stream_published(f: Filings) -> DataFrame:
+    """The same table with the delta taken from a file stream, merged by micro-batch."""
+    old, new = _restated(f)
+    path = scratch.fresh_path(f.spark, "published")
+    facts = published.PublishedTable(path, ["filing_id"], PUBLISHED_BUCKETS)
+    facts.create(old.select(*FACT_COLUMNS))
+    delta = scratch.fresh_path(f.spark, "delta")
+    new.select(*FACT_COLUMNS).write.option("maxRecordsPerFile", 20_000).parquet(delta)
+    stream = f.spark.readStream.schema(new.select(*FACT_COLUMNS).schema).option("maxFilesPerTrigger", 4).parquet(delta)
+    facts.follow(stream, path + "-checkpoint").awaitTermination()
+    return facts.read(f.spark)
+
+
+DAY_DDL = "filing_id STRING, has_detail BOOLEAN, has_certificate BOOLEAN, partition_date DATE"
+
+
+@modelled
+def consolidated_day(f: Filings) -> DataFrame:
+    """All days written under one schema, then the last day twice under a wider one, and every day read under that."""
+    path = scratch.fresh_path(f.spark, "consolidated")
+    narrow, wide = (T.StructType.fromDDL(DAY_DDL + more) for more in ("", ", data_completeness_score DOUBLE"))
+    rows = f.structured.withColumn("data_completeness_score", rounded("data_completeness_score"))
+    files.write_parquet(rows, path, narrow, ["partition_date"])
+    last = str(rows.agg(F.max("partition_date")).first()[0])
+    for _ in range(2):
+        published.write_day(rows, path, last, wide)
+    return published.read_days(f.spark, path, wide)
+
+
 @modelled
 def accumulate_dims(f: Filings) -> DataFrame:
     old, new = _two_days(f)

@@ -11,22 +11,18 @@ from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartouche.constants import CERTIFICATE, DETAIL
+from cartouche.constants import CERTIFICATE, DETAIL, ERROR_PAGE_SHA256
 from cartouche.functions.ids import is_filing_id
+from cartouche.functions.text import filled
 from cartouche.operators import clean, consolidate, dims, extract, facts, lookup, merge, ordered, structure
 from cartouche.sources import grids, tables
+from cartouche.sources.files import PAGES_A_FILE, write_parquet
 from cartouche.sources.scratch import through_storage
 
 
-def split_identified(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Extracted rows of mixed views -> detail rows, certificate rows, rejects."""
-    known, rejects = clean.identified(rows)
-    detail, certificate, unknown = clean.split_views(known)
-    return detail, certificate, rejects.unionByName(unknown)
-
-
 def cleaned(rows: DataFrame, view: str, order: list[Column] | None = None) -> DataFrame:
     """Last row per id of one view, cleaned.
 
@@ -47,21 +43,58 @@ ABSENT_FROM_PAGES = {
 }
 
 
-def last_landed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages to extract, the last landing of each file id and view; and rejects: no html, no view, an unknown one, or no id.
+KEPT, REPLACED = "kept", "replaced"
 
-    Picking before extraction spares the pages that were replaced. Rows without a status code count as fetched.
+
+def with_outcome(pages: DataFrame, error_hashes: list[str] | None = None) -> DataFrame:
+    """Add ``outcome`` to landed pages in one pass, and ``extraction_errors`` with every reason against a page.
+
+    ``kept`` pages go on to extraction. Others are ``not_fetched`` (a status code outside 200 to 299), ``error_page`` (a
+    known one, by content), ``unreadable`` (no html or no view), ``unknown_view`` or ``no_id``, by the first reason in this
+    order; or ``replaced``, when the same id and view landed again with a later sequence or time. Rows without a status
+    code count as fetched.
     """
-    fetched = clean.fetched_ok(pages) if "status_code" in pages.columns else pages
-    good, bad = clean.readable(clean.drop_error_pages(fetched))
-    detail, certificate, rejects = split_identified(good)
+    known = F.col("view").isin(DETAIL, CERTIFICATE)
+    html, view = filled(F.col("html")), filled(F.col("view"))
+    reasons = [
+        ("not_fetched", ~F.col("status_code").between(200, 299) if "status_code" in pages.columns else F.lit(False), F.lit("Not fetched")),
+        ("error_page", ~clean.not_error_page(F.col("html"), [ERROR_PAGE_SHA256, *(error_hashes or [])]), F.lit("Known error page")),
+        ("unreadable", ~html, F.lit("No html")), ("unreadable", ~view, F.lit("No view")),
+        ("unknown_view", view & ~known, F.concat(F.lit("Unknown data type: "), F.col("view"))),
+        ("no_id", ~filled(F.col("filing_id")), F.lit("No filing id")),
+    ]
+    # an unknown status is no success
+    tested = [(name, F.coalesce(test, F.lit(True)), text) for name, test, text in reasons]
+    marked = pages.withColumn("extraction_errors", F.array_compact(F.array(*[F.when(t, text) for _, t, text in tested])))
+    marked = marked.withColumn("outcome", F.coalesce(*[F.when(t, F.lit(name)) for name, t, _ in tested], F.lit(KEPT)))
+    # only pages that could be kept compete; each other page is a group of its own
+    group = F.when(F.col("outcome") == KEPT, F.col("filing_id")).otherwise(F.monotonically_increasing_id().cast("string"))
     order = [F.col("sequence").desc(), *([F.col("fetched_at").desc()] if "fetched_at" in pages.columns else [])]
-    return ordered.latest_per_view(detail.unionByName(certificate), order), rejects.unionByName(bad)
+    rank = F.row_number().over(W.partitionBy("view", "outcome", "__group").orderBy(*order))
+    later = (F.col("outcome") == KEPT) & (F.col("__rank") > 1)
+    ranked = marked.withColumn("__group", group).withColumn("__rank", rank)
+    return ranked.withColumn("outcome", F.when(later, F.lit(REPLACED)).otherwise(F.col("outcome"))).drop("__group", "__rank")
+
+
+def write_outcomes(pages: DataFrame, path: str, error_hashes: list[str] | None = None) -> DataFrame:
+    """Landed pages written once, partitioned by outcome; a reader of one outcome opens only its folder."""
+    write_parquet(with_outcome(pages, error_hashes), path, partition_by=["outcome", "view"], rows_a_file=PAGES_A_FILE)
+    return pages.sparkSession.read.parquet(path)
+
+
+def last_landed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages to extract, the last landing of each file id and view; and all others with their outcome.
+
+    Picking before extraction spares the pages that were replaced.
+    """
+    marked = with_outcome(pages)
+    return marked.where(F.col("outcome") == KEPT).drop("outcome", "extraction_errors"), marked.where(F.col("outcome") != KEPT)
 
 
 def from_pages(pages: DataFrame) -> DataFrame:
-    """Landed pages (a stored table) -> structured filings."""
-    detail_page, certificate_page, _ = clean.split_views(last_landed(pages)[0])
+    """Landed pages (a stored table, best one of ``write_outcomes``) -> structured filings."""
+    kept = pages.where(F.col("outcome") == KEPT) if "outcome" in pages.columns else last_landed(pages)[0]
+    detail_page, certificate_page, _ = clean.split_views(kept)
     detail = cleaned(extract.detail_fields(detail_page), DETAIL)
     detail = detail.withColumns({
         c: F.lit(None).cast(t) for c, t in ABSENT_FROM_PAGES.items() if c not in detail.columns

@@ -693,6 +693,13 @@ base("upsert_facts", """
   UNION ALL SELECT 'fact_certificates', filing_id, company_key, serial_number, partition_date FROM fc)
 SELECT fact, filing_id, company_key, CASE WHEN partition_date >= DATE '1998-01-01' THEN 'restated' ELSE serial_number END AS serial_number,
   CASE WHEN partition_date >= DATE '1998-01-01' THEN DATE '2001-12-31' ELSE DATE '1998-12-31' END AS partition_date FROM all_facts""")
+FACTS_PUBLISHED = """
+SELECT filing_id, company_key, CASE WHEN partition_date >= DATE '1998-01-01' THEN 'restated' ELSE serial_number END AS serial_number,
+  CASE WHEN partition_date >= DATE '1998-01-01' THEN DATE '2001-12-31' ELSE DATE '1998-12-31' END AS partition_date FROM fp"""
+base("merge_published", FACTS_PUBLISHED)
+base("stream_published", FACTS_PUBLISHED)
+base("consolidated_day", """
+SELECT filing_id, has_detail, has_certificate, partition_date, CASE WHEN partition_date = (SELECT max(partition_date) FROM s) THEN round(data_completeness_score, 6) END AS data_completeness_score FROM s""")
 base("accumulate_dims", f"""
 SELECT md5(ckey) AS company_key, any_value(applicant_business_name) AS business_name, min(partition_date) AS first_seen_date, max(partition_date) AS last_seen_date, count(*) AS total_applications
 FROM s WHERE coalesce(applicant_business_name,'') <> '' GROUP BY ckey""")
@@ -721,3 +728,25 @@ plain("stream_ingest", f"SELECT CAST(doc_id AS VARCHAR) AS filing_id, md5({clean
 plain("stream_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS filing_id, DATE '2024-01-31' AS partition_date FROM events")
 base("filings_from_pages", """
 SELECT filing_id, has_detail, has_certificate, brand_name, status, CASE WHEN has_detail THEN applicant_business_name || ' & Sons' ELSE applicant_business_name END AS applicant_business_name FROM s""")
+plain("landed_html", f"""
+SELECT {fid('page_id')} AS filing_id, 'cola-detail' AS view, DATE '2024-01-01' + CAST(page_id % 3 AS INT) AS partition_date, CAST(page_id % 4 AS INT) AS receipt_method,
+  CAST(octet_length(encode(html)) + 1 AS BIGINT) AS size_bytes, md5(html || chr(10)) AS html_md5,
+  page_id % 3 = (SELECT max(page_id % 3) FROM pages) AS listed FROM pages""")
+SPOILED = """
+, landed AS (
+  SELECT filing_id, 'cola-detail' AS view, fetched, o_orderkey AS k FROM detail_all UNION ALL SELECT filing_id, 'certificate', true, l_orderkey FROM c),
+spoiled AS (
+  SELECT CASE WHEN substr(filing_id,5,1) <> '2' THEN filing_id END AS filing_id, CASE WHEN substr(filing_id,5,1) = '1' THEN 'leaflet' ELSE view END AS view, fetched, k % 4 = 3 AS empty,
+    k % 4 = 1 AS twice, landing
+  FROM landed, (VALUES (CAST(1 AS INT)), (CAST(0 AS INT))) AS l(landing) WHERE landing = 1 OR k % 4 = 1),
+marked AS (
+  SELECT *, CASE WHEN NOT fetched THEN 'not_fetched' WHEN empty THEN 'unreadable' WHEN view = 'leaflet' THEN 'unknown_view' WHEN filing_id IS NULL THEN 'no_id'
+      WHEN landing = 0 THEN 'replaced' ELSE 'kept' END AS outcome,
+    array_to_string(list_filter([CASE WHEN NOT fetched THEN 'Not fetched' END, CASE WHEN empty THEN 'No html' END, CASE WHEN view = 'leaflet' THEN 'Unknown data type: leaflet' END,
+      CASE WHEN filing_id IS NULL THEN 'No filing id' END], lambda x: x IS NOT NULL), '; ') AS errors
+  FROM spoiled)"""
+base("page_rejects", SPOILED + " SELECT filing_id, view, landing, outcome, errors FROM marked WHERE outcome <> 'kept'")
+base("page_outcomes", SPOILED + " SELECT view, outcome, count(*) AS pages, CAST(sum(count(*)) OVER () AS BIGINT) AS landed FROM marked GROUP BY view, outcome")
+plain("filings_from_html", f"""
+SELECT {fid('s_suppkey')} AS filing_id, true AS has_detail, s_acctbal >= 0 AS has_certificate, s_name || ' & Sons' AS brand_name, 'APPROVED' AS status,
+  CASE WHEN s_acctbal >= 0 THEN 'THE STATUS IS APPROVED.' END AS cert_status, s_name AS applicant_business_name, DATE '2024-01-01' + CAST(s_nationkey AS INT) AS partition_date FROM supplier""")

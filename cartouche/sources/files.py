@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,16 +13,27 @@ PARTITION_COLUMNS = ["view", "partition_date", "receipt_method"]
 PAGES_A_FILE = 8192  # a page takes about a third of a millisecond to extract and compresses twentyfold
 
 
-def scan_landed_html(spark: SparkSession, root: str) -> DataFrame:
-    """Landed pages: one file per page under ``view=/partition_date=/receipt_method=``.
+def land_html(pages: DataFrame, root: str) -> None:
+    """One HTML file per page: ``view=/partition_date=/receipt_method=/page=<id>/``; a page that lands again replaces its file.
 
-    Id and sequence from the file name, size and time from the listing. A landed file
-    was fetched, so there is no status code. Partition filters prune directories. Landing many small files is slow to list; compact once with
-    ``write_landed`` and scan Parquet from then on.
+    The text writer ends a file with a line end.
     """
-    pages = spark.read.text(root, wholetext=True)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.html?$", 1)
-    fid = F.regexp_extract(name, "([0-9]{14,})", 1)
+    layout = pages.select(*PARTITION_COLUMNS, F.col("filing_id").alias("page"), F.col("html").alias("value"))
+    writer = layout.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITION_COLUMNS, "page").text(root)
+
+
+def scan_landed_html(spark: SparkSession, root: str, days: list[str] | None = None, views: list[str] | None = None) -> DataFrame:
+    """Landed pages: one file per page under ``view=/partition_date=/receipt_method=``, as ``<id>.html`` or in ``page=<id>/``.
+
+    Id and sequence from the path, size and time from the listing. A landed file was fetched, so there is no status code.
+    With ``days`` only their folders are listed, so a daily run does not pay for the days before; a day that did not land is
+    an error. Landing many small files is slow to list; compact them once with ``compact_days`` and scan Parquet from then on.
+    """
+    folders = [f"{root}/view={v}/partition_date={d}" for v in views or ["*"] for d in days or ["*"]]
+    reader = spark.read.option("basePath", root)
+    pages = reader.text(folders if days or views else root, wholetext=True)
+    fid = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{14,})(?:/[^/]*|\.html?)$", 1)
     return pages.select(
         fid.alias("filing_id"),
         F.substring(fid, 9, 12).try_cast("int").alias("sequence"),
@@ -29,10 +41,16 @@ def scan_landed_html(spark: SparkSession, root: str) -> DataFrame:
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_size").alias("size_bytes"),
         F.col("_metadata.file_modification_time").alias("fetched_at"),
-        *[c for c in pages.columns if c != "value"],
+        *[c for c in pages.columns if c not in ("value", "page")],
     )
 
 
+def compact_days(spark: SparkSession, root: str, target: str, days: list[str] | None = None) -> dict:
+    """Landed HTML files of the given days (null: all) as Parquet files of ``PAGES_A_FILE`` pages; a day that is compacted
+    again replaces itself."""
+    return write_landed(scan_landed_html(spark, root, days), target)
+
+
 def scan_parquet(spark: SparkSession, root: str, day: str | None = None, views: list[str] | None = None) -> DataFrame:
     """Partitioned Parquet; the day and view filters prune directories."""
     frame = spark.read.parquet(root)
@@ -60,6 +78,13 @@ def read_table(spark: SparkSession, catalog: dict, name: str, day: str | None =
     return frame if day is None else frame.where(F.col("partition_date") == F.lit(day).cast("date"))
 
 
+def rows_seen(seen: Observation) -> int:
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:  # Spark drops the count along with a plan that it knows to be empty
+        return 0
+
+
 def write_parquet(
     frame: DataFrame, path: str, schema: T.StructType | None = None, partition_by: list[str] | None = None,
     complete: bool = False, rows_a_file: int | None = None,
@@ -81,7 +106,7 @@ def write_parquet(
     writer = writer_frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_a_file or 0)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return {
-        "total_rows": seen.get["rows"],
+        "total_rows": rows_seen(seen),
         "columns": shaped.columns,
         "schema_fields": len(shaped.columns),
         "output_path": path,

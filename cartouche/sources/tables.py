@@ -277,3 +277,21 @@ def certificate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return raw.select("filing_id", "view", "sequence", "receipt_method", "partition_date",
                       F.lit(200).alias("status_code"), html.alias("html"))
+
+
+def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as filings landed over 25 days: a detail page each, and a certificate page for those not in debt."""
+    c, fid = F.col, filing_id(F.col("s_suppkey"))
+    detail = F.concat(
+        F.lit("<html><body><p><strong>Status:</strong> APPROVED</p><table><tr><td><strong>TTB ID:</strong> "), fid,
+        F.lit("</td><td><strong>Brand Name:</strong> "), c("s_name"), F.lit(" &amp Sons</td></table><table><tr><td>DC-I-"), c("s_nationkey").cast("string"),
+        F.lit("</td></tr><tr><td>"), c("s_name"), F.lit("</td></tr><tr><td>Contact Information:</td></tr></table></body></html>"))
+    certificate = F.concat(
+        F.lit('<html><body><div class="data">'), fid, F.lit("</div><table><tr>"), _field(4, "SERIAL NUMBER", c("s_suppkey")),
+        F.lit("</tr><tr><td>THE STATUS IS APPROVED&period;</td></tr></table></body></html>"))
+    views = F.array(F.struct(F.lit(DETAIL).alias("view"), detail.alias("html")), F.struct(F.lit(CERTIFICATE).alias("view"), certificate.alias("html")))
+    rows = table(spark, sf_dir, "supplier").select(
+        fid.alias("filing_id"), F.date_add(F.lit("2024-01-01").cast("date"), c("s_nationkey").cast("int")).alias("partition_date"),
+        id_parts(c("s_suppkey"))["method"].cast("int").alias("receipt_method"),
+        F.explode(F.filter(views, lambda v: (v["view"] == DETAIL) | (c("s_acctbal") >= 0))).alias("page"))
+    return rows.select("filing_id", "partition_date", "receipt_method", "page.view", "page.html")

@@ -14,6 +14,16 @@ from cartouche.operators.ordered import pick_first
 from cartouche.sources.files import PARTITION_COLUMNS
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def durable_state(spark: SparkSession) -> None:
+    """Keep the state of streams that start from now on in RocksDB on the executors' disks, outside the heap, and save its
+    changes (not whole snapshots) with every micro-batch, so that a restart or a lost executor replays a short log."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def cleaned(rows: DataFrame, view: str) -> DataFrame:
     """The batch cleaning of one view; it is stateless, so a stream takes it unchanged."""
     return clean.apply_view_rules(clean.identified(rows)[0], view)
@@ -32,7 +42,8 @@ def append_partitions(stream: DataFrame, path: str, checkpoint: str, partition_b
 
 
 def dedup_ids(stream: DataFrame, time: str = "fetched_at", lateness: str = "1 day") -> DataFrame:
-    """First row per filing id within the lateness; state is dropped behind the watermark."""
+    """First row per filing id within the lateness; state is dropped behind the watermark and kept outside the heap."""
+    durable_state(stream.sparkSession)
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(["filing_id"])
 
 
@@ -45,6 +56,8 @@ def land_batches(
     ``update`` mode a drained run holds every group, also those that a watermark would keep open.
     """
 
+    durable_state(stream.sparkSession)
+
     def land(batch: DataFrame, batch_id: int) -> None:
         build(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
