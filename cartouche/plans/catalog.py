@@ -130,9 +130,12 @@ def structured(f: Filings) -> DataFrame:
 
 @filings
 def cross_view_consistency(f: Filings) -> DataFrame:
+    """Ids and names of both views; certificates of one receipt method were filed under another id."""
     pair = f.merged.where(F.col("has_detail") & F.col("has_certificate"))
+    moved = F.concat(F.lit("9"), F.substring("filing_id", 2, 13))
+    pair = pair.withColumn("cert_filing_id", F.when(F.substring("filing_id", 6, 3) == "002", moved).otherwise(F.col("filing_id")))
     compared = merge.cross_view_consistency(
-        pair, ("filing_id", "filing_id"), ("applicant_business_name", "cert_applicant_business_name")
+        pair, ("filing_id", "cert_filing_id"), ("applicant_business_name", "cert_applicant_business_name")
     )
     c = F.col("consistency")
     return compared.select(
@@ -307,6 +310,14 @@ def location_dim(f: Filings) -> DataFrame:
     return dims.legacy_locations(f.flat)
 
 
+@filings
+def location_states(f: Filings) -> DataFrame:
+    """Locations whose descriptions carry state marks."""
+    number = F.split_part(F.col("cola_origin_code"), F.lit("_"), F.lit(2)).cast("int")
+    text_ = F.concat(F.lit("Goods of nation "), number.cast("string"), tables.choose(number % 3, {0: ", NY", 1: " (CA WEST)"}, ""))
+    return dims.legacy_locations(f.flat.withColumn("origin_code_validation_description", text_))
+
+
 @filings
 def product_type_dim(f: Filings) -> DataFrame:
     return dims.legacy_product_types(
@@ -963,6 +974,54 @@ def export_projection(f: Filings) -> DataFrame:
     return out.withColumn("data_quality_score", rounded("data_quality_score"))
 
 
+@filings
+def export_dates(f: Filings) -> DataFrame:
+    return upsert.export(f.dates, "dim_dates")
+
+
+@modelled
+def export_products(f: Filings) -> DataFrame:
+    out = upsert.export(f.products, "dim_products", F.lit("2001-12-31"))
+    return out.withColumn("data_quality_score", rounded("data_quality_score")).withColumn("alcohol_content", rounded("alcohol_content"))
+
+
+@query
+def export_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image addresses of a certificate as a list column; certificates without a signature export none."""
+    found = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
+    urls = F.transform(F.filter("label_images", lambda i: F.col("signatures.present")), lambda i: i["original_url"])
+    out = upsert.export(found.withColumn("image_urls", urls), "certificate_images", F.col("partition_date"))
+    return out.select("filing_id", F.array_join("image_urls", "|").alias("urls"), F.size("image_urls").alias("images"), "partition_date")
+
+
+@query
+def nested_columns_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Certificates without their nested columns, next to which columns those are."""
+    found = extract.certificate_fields(landed_pages(spark, sf_dir, CERTIFICATE))
+    flat, whole = clean.drop_nested(found), clean.drop_nested(found, keep_metadata=True)
+    dropped = ",".join(c for c in whole.columns if c not in flat.columns)
+    return flat.select("filing_id", "status", F.lit(dropped).alias("dropped"))
+
+
+@query
+def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in files that hold one JSON array each (a hundred keys a file), read back as records."""
+    path = scratch.fresh_path(spark, "json-arrays")
+    rows = table(spark, sf_dir, "customer").withColumn("block", F.floor(F.col("c_custkey") / 100))
+    record = F.struct("c_custkey", "c_name", "c_mktsegment")
+    arrays = rows.groupBy("block").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("block").text(path)
+    return files.scan_json(spark, path, "c_custkey BIGINT, c_name STRING, c_mktsegment STRING").select("c_custkey", "c_name", "c_mktsegment")
+
+
+@query
+def backfill_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range of a backward backfill begun on each order day, twenty years on; the earliest ones meet the first day of the archive."""
+    today = table(spark, sf_dir, "orders").select(F.add_months(F.col("o_orderdate").cast("date"), 240).alias("today")).distinct()
+    first, last = ordered.backfill_range(F.col("today"))
+    return today.select("today", first.alias("first_day"), last.alias("last_day"), F.datediff(first, last).alias("days_back"))
+
+
 def _two_days(f: Filings) -> tuple[DataFrame, DataFrame]:
     """Company dimension of the filings before 1998 and of those from 1998 on."""
     early, late = (f.structured.where(c) for c in (F.col("partition_date") < "1998-01-01", F.col("partition_date") >= "1998-01-01"))

@@ -322,10 +322,12 @@ SELECT filing_id, filing_date, cert_approval_date, has_detail, coalesce(cert_app
   brand_name, cert_certificate_type, CAST(days_to_approval AS DOUBLE) AS days_to_approval, round(final_quality_score,6) AS final_quality_score,
   true AS is_valid, '' AS errors, '' AS warnings FROM s""")
 base("cross_view_consistency", """
-SELECT filing_id, lower(applicant_business_name) = lower(cert_applicant_business_name) AS is_consistent,
-  CASE WHEN lower(applicant_business_name) = lower(cert_applicant_business_name) THEN '' ELSE
-    'Applicant name mismatch: detail=''' || applicant_business_name || ''', cert=''' || cert_applicant_business_name || '''' END AS issues,
-  'filing_id,applicant_name' AS checked_fields FROM m WHERE has_detail AND has_certificate""")
+, pair AS (SELECT *, CASE WHEN substr(filing_id,6,3) = '002' THEN '9' || substr(filing_id,2,13) ELSE filing_id END AS other FROM m WHERE has_detail AND has_certificate),
+told AS (SELECT filing_id, [CASE WHEN other <> filing_id THEN 'Filing ID mismatch: detail=' || filing_id || ', cert=' || other END,
+  CASE WHEN lower(applicant_business_name) <> lower(cert_applicant_business_name) THEN
+    'Applicant name mismatch: detail=''' || applicant_business_name || ''', cert=''' || cert_applicant_business_name || '''' END] AS i FROM pair)
+SELECT filing_id, len(list_filter(i, lambda x: x IS NOT NULL)) = 0 AS is_consistent, coalesce(array_to_string(list_filter(i, lambda x: x IS NOT NULL), '; '), '') AS issues,
+  'filing_id,applicant_name' AS checked_fields FROM told""")
 
 plain("latest_per_view", f"""
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY filing_id, view ORDER BY sequence DESC, l_partkey DESC, l_suppkey DESC, price DESC) AS rn
@@ -369,14 +371,16 @@ plain("date_spine", """
 SELECT CAST(day AS DATE) AS date, coalesce(n, 0) AS events FROM
  (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS day FROM events)
  LEFT JOIN (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1) ON CAST(day AS DATE) = d""")
-base("date_dim", f"""
+DATES = f"""
 SELECT {date_id('date')} AS date_id, date, CAST(year(date) AS INT) AS year, CAST(quarter(date) AS INT) AS quarter, CAST(month(date) AS INT) AS month,
   CAST(day(date) AS INT) AS day, CAST(isodow(date) AS INT) AS day_of_week, CAST(dayofyear(date) AS INT) AS day_of_year,
   CAST(weekofyear(date) AS INT) AS week_of_year, CAST(CASE WHEN month(date) >= 10 THEN year(date) ELSE year(date) - 1 END AS INT) AS fiscal_year,
   CAST(CASE WHEN month(date) >= 10 THEN 1 ELSE (month(date) + 2) // 3 END AS INT) AS fiscal_quarter, isodow(date) >= 6 AS is_weekend,
   strftime(date,'%m-%d') IN ('01-01','07-04','12-25') AS is_holiday, strftime(date,'%B') AS month_name, strftime(date,'%A') AS day_name,
   'Q' || quarter(date) AS quarter_name, CASE WHEN month(date) IN (12,1,2) THEN 'Winter' WHEN month(date) <= 5 THEN 'Spring' WHEN month(date) <= 8 THEN 'Summer' ELSE 'Fall' END AS season,
-  CAST(date - DATE '1970-01-01' AS INT) AS days_from_epoch FROM dates""")
+  CAST(date - DATE '1970-01-01' AS INT) AS days_from_epoch FROM dates"""
+base("date_dim", DATES)
+base("export_dates", DATES)
 
 base("company_dim", "SELECT * FROM companies")
 base("company_source_ids", f"""
@@ -750,3 +754,21 @@ base("page_outcomes", SPOILED + " SELECT view, outcome, count(*) AS pages, CAST(
 plain("filings_from_html", f"""
 SELECT {fid('s_suppkey')} AS filing_id, true AS has_detail, s_acctbal >= 0 AS has_certificate, s_name || ' & Sons' AS brand_name, 'APPROVED' AS status,
   CASE WHEN s_acctbal >= 0 THEN 'THE STATUS IS APPROVED.' END AS cert_status, s_name AS applicant_business_name, DATE '2024-01-01' + CAST(s_nationkey AS INT) AS partition_date FROM supplier""")
+base("export_products", """
+SELECT * EXCLUDE (alcohol_content, data_quality_score), round(CAST(alcohol_content AS DOUBLE), 6) AS alcohol_content,
+  round(CAST(data_quality_score AS DOUBLE), 6) AS data_quality_score, DATE '2001-12-31' AS partition_date FROM products""")
+base("export_images", """
+SELECT filing_id, CASE WHEN finished = 1 THEN '/publicViewAttachment.do?filename=front ' || serial_number || '.jpg&filetype=l|/publicViewAttachment.do?filename=back.jpg' END AS urls,
+  CASE WHEN finished = 1 THEN CAST(2 AS INT) END AS images, partition_date FROM c""")
+base("nested_columns_dropped", "SELECT filing_id, status, 'label_images,signatures' AS dropped FROM c")
+plain("json_arrays", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+plain("backfill_days", """
+SELECT today, first_day, last_day, CAST(first_day - last_day AS INT) AS days_back FROM (
+  SELECT today, CAST(today - INTERVAL 2 DAY AS DATE) AS first_day, greatest(CAST(today - INTERVAL 365 DAY AS DATE), DATE '2015-01-01') AS last_day
+  FROM (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) + INTERVAL 240 MONTH AS DATE) AS today FROM orders))""")
+base("location_states", f"""
+SELECT {key32('origin_code')} AS location_id, origin_code, d AS origin_description, NULLIF(regexp_extract(d, '\\b([A-Z]{{2}})\\b', 1), '') AS state,
+  CASE WHEN regexp_matches(d,'CA|NY|TX|FL|WA') THEN 'USA' ELSE 'Other' END AS country, NULLIF(regexp_extract(d, '\\b([A-Z]{{2}})\\b', 1), '') AS region,
+  regexp_matches(d,'CA|NY|TX|FL|WA') AS is_domestic
+FROM (SELECT DISTINCT origin_code, 'Goods of nation ' || split_part(origin_code,'_',2) || CASE CAST(split_part(origin_code,'_',2) AS INT) % 3 WHEN 0 THEN ', NY' WHEN 1 THEN ' (CA WEST)' ELSE '' END AS d
+  FROM s WHERE coalesce(origin_code,'') <> '')""")

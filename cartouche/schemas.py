@@ -102,6 +102,8 @@ schemas.register("dim_products", """
     data_quality_score DECIMAL(5,3), partition_date DATE
 """)
 
+schemas.register("certificate_images", "filing_id STRING, image_urls ARRAY<STRING>, partition_date DATE")
+
 schemas.register("source_ids", "owner_key STRING, filing_id STRING")
 
 schemas.register("fact_products", """

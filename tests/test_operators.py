@@ -207,10 +207,7 @@ def test_alerts(spark):
     assert got == [("low_success_rate", "high"), ("run_failures", "high"), ("run_failures", "medium")]
 
 
-def test_no_cross_joins(spark, sf_dir):
-    from __spark_entry__ import queries
-
-    for name in ("merged_filings", "fetch_cutoff", "orphans", "candidate_ids", "work_grid", "code_validation", "error_page_filter",
-                 "union_partitions", "dataset_quality", "merged_legacy", "date_spine"):
-        plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+@pytest.mark.parametrize("today,first,last", [("2024-06-01", "2024-05-30", "2023-06-02"), ("2015-06-01", "2015-05-30", "2015-01-01"), ("2015-01-02", "2014-12-31", "2015-01-01")])
+def test_backfill_range(spark, today, first, last):
+    row = spark.range(1).select(*ordered.backfill_range(F.lit(today).cast("date"))).first()
+    assert (str(row[0]), str(row[1])) == (first, last)
