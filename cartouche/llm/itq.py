@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,33 +24,38 @@ from pyspark.sql import functions as F
 
 from cartouche.llm.exchange import bucket_count
 from cartouche.llm.graph import components, forest, stored
-from cartouche.llm.vectors import matrix
+from cartouche.llm.vectors import matrices
 
 THRESHOLD = 0.95
 SAMPLE_ROWS = 20_000
 ROTATIONS = 4
 RECALL = 0.97
 PROBES = 2000
+MOST_ROTATIONS = 1024
 CHUNK_ROWS = 1024
 BLOCK = 512
 
 
-def learn_rotations(sample: np.ndarray, rotations: int, rounds: int = 30, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Centre and rotation of each code: quantisation loss is lowered in turn over the codes and the rotation."""
+def learn_rotations(sample: np.ndarray, rotations: int, rounds: int = 30, seed: int = 5) -> list[np.ndarray]:
+    """Rotations: quantisation loss is lowered in turn over the codes and the rotation.
+
+    They are learned about the sample's mean, so that bits are balanced, but codes are signs of the vectors' own
+    projections: two vectors that share a direction with all others keep their angle, and the closer they are the more
+    bits agree. A sample of fewer rows than components determines no rotation; it gets random ones.
+    """
     rng = np.random.default_rng(seed)
     width = sample.shape[1]
-    centre = sample.mean(0) if len(sample) else np.zeros(width)
-    v = sample - centre
+    v = sample - sample.mean(0) if len(sample) else sample
     _, _, axes = np.linalg.svd(v.T @ v)
     out = []
     for _ in range(rotations):
         r = np.linalg.qr(rng.normal(size=(width, width)))[0]
         projected = v @ axes.T
-        for _ in range(rounds if len(sample) else 0):
+        for _ in range(rounds if len(sample) > width else 0):
             codes = np.where(projected @ r >= 0, 1.0, -1.0)
             u, _, w = np.linalg.svd(projected.T @ codes)
             r = u @ w
-        out.append((centre, axes.T @ r))
+        out.append(axes.T @ r)
     return out
 
 
@@ -60,7 +66,7 @@ def substring_bits(vectors: int, width: int) -> int:
 
 def substrings(x: np.ndarray, learned, bits: int) -> np.ndarray:
     """Value of each table's substring of each vector; the last substring ends with the last bit, so every bit is in one."""
-    code = np.concatenate([((x - centre) @ rotation >= 0).astype(np.int64) for centre, rotation in learned], 1)
+    code = np.concatenate([(x @ rotation >= 0).astype(np.int64) for rotation in learned], 1)
     weights = np.int64(1) << np.arange(bits, dtype=np.int64)
     last = code.shape[1] - bits
     return np.stack([code[:, a:a + bits] @ weights for a in [*range(0, last, bits), last]], 1)
@@ -74,21 +80,33 @@ def rotations_needed(bits: int, width: int, threshold: float) -> int:
 
 
 def expected_recall(sample: np.ndarray, learned, bits: int, threshold: float, seed: int = 6) -> float:
-    """Share of sample vectors that meet, in some table, a random vector at exactly the threshold from them."""
+    """Share of sample vectors that meet, in some table, a vector at exactly the threshold from them.
+
+    Half of these lie in a random direction, half towards another vector of the sample; the lesser share counts.
+    """
+    rng = np.random.default_rng(seed)
     x = np.resize(sample, (PROBES, sample.shape[1]))
-    aside = np.random.default_rng(seed).normal(size=x.shape)
-    aside -= (aside * x).sum(1, keepdims=True) * x
-    aside /= np.maximum(np.sqrt((aside ** 2).sum(1, keepdims=True)), 1e-12)
-    near = threshold * x + np.sqrt(max(1 - threshold ** 2, 0)) * aside
-    return float((substrings(x, learned, bits) == substrings(near, learned, bits)).any(1).mean())
+    shares = []
+    for aside in (rng.normal(size=x.shape), sample[rng.integers(0, len(sample), len(x))] + 1e-9 * rng.normal(size=x.shape)):
+        aside = aside - (aside * x).sum(1, keepdims=True) * x
+        aside /= np.maximum(np.sqrt((aside ** 2).sum(1, keepdims=True)), 1e-300)
+        near = threshold * x + np.sqrt(max(1 - threshold ** 2, 0)) * aside
+        shares.append((substrings(x, learned, bits) == substrings(near, learned, bits)).any(1).mean())
+    return float(min(shares))
 
 
-def enough_rotations(sample: np.ndarray, bits: int, threshold: float, least: int = ROTATIONS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """At least ``least`` rotations, as many as the threshold needs; more (up to four times) while the sample falls short."""
+def enough_rotations(sample: np.ndarray, bits: int, threshold: float, least: int = ROTATIONS) -> list[np.ndarray]:
+    """At least ``least`` rotations, as many as the threshold needs, more until the probes reach RECALL.
+
+    Where learned rotations fall short, random ones follow, whose bits differ with probability angle / pi for every pair.
+    A search that ends without RECALL is an error, never a smaller result.
+    """
     first = max(least, rotations_needed(bits, sample.shape[1], threshold))
     learned = learn_rotations(sample, first)
-    while len(learned) < 4 * first and expected_recall(sample, learned, bits, threshold) < RECALL:
-        learned += learn_rotations(sample, 1, seed=5 + len(learned))
+    while expected_recall(sample, learned, bits, threshold) < RECALL:
+        if len(learned) >= MOST_ROTATIONS:
+            raise RuntimeError(f"{len(learned)} rotations do not reach a recall of {RECALL} at cosine {threshold}")
+        learned += learn_rotations(sample, 1, 30 if len(learned) < 2 * first else 0, seed=5 + len(learned))
     return learned
 
 
@@ -101,13 +119,12 @@ def unit(x: np.ndarray) -> np.ndarray:
 def classify(batches):
     """``row, vec_id, digest, data`` of each vector; no digest where it takes no part."""
     for batch in batches:
-        x, rows = matrix(batch.column(2))
-        good = np.abs(x).max(1, initial=0) > 0
-        x, rows = x[good] + 0.0, rows[good]  # no negative zeros
         digest, data = [None] * batch.num_rows, [None] * batch.num_rows
-        for r, v in zip(rows.tolist(), x):
-            data[r] = v.tobytes()
-            digest[r] = hashlib.blake2b(data[r], digest_size=16).digest()
+        for x, rows in matrices(batch.column(2)):
+            good = np.abs(x).max(1, initial=0) > 0
+            for r, v in zip(rows[good].tolist(), x[good] + 0.0):  # no negative zeros
+                data[r] = v.tobytes()
+                digest[r] = hashlib.blake2b(data[r], digest_size=16).digest()
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(data, pa.binary())],
                                          names=["row", "vec_id", "digest", "data"])
 
@@ -198,7 +215,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample_row
     Returns one row per input row: ``vec_id, n_links`` (other rows linked directly), ``component_id`` (smallest ``vec_id``
     reachable by links, itself included), ``kept`` (``vec_id`` is ``component_id``). No link below the threshold is made;
     links at it are found unless the codes disagree in every table, which the tests measure: ``rotations`` is the least
-    number of rotations, and more are learned where the table's size, width and threshold need them. Null, empty and zero vectors
+    number of rotations, and more are learned where the table's size, width and threshold need them, without a limit that
+    could lose links. Vectors of different widths do not link. Null, empty and zero vectors
     and those with a null or non-finite component link with nothing. Repeated rows link with each other. A null id
     is larger than any other and never kept. Only ``vec_id`` and ``embedding`` are read. An empty table gives an empty result.
     """
@@ -210,16 +228,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample_row
     classes = stored(known.where("digest is not null").groupBy("digest").agg(first.alias("first"), F.count("*").alias("copies")).select(
         "digest", F.col("first.vec_id").alias("first_id"), F.col("first.row").alias("rep"), "copies"), "vector-classes")
     reps = known.join(classes, "digest").where("row = rep").select("rep", "copies", "data")
-    n = classes.count()
-    share = min(1.0, sample_rows / max(n, 1))
-    sample = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).select("data").toPandas()["data"]
-    sample = unit(np.frombuffer(b"".join(sample), np.float64).reshape(len(sample), -1)) if len(sample) else None
-    if sample is None:
-        found = spark.createDataFrame([], "a long, b long, n long")
-    else:
-        bits = substring_bits(n, sample.shape[1])
-        shared = spark.sparkContext.broadcast((enough_rotations(sample, bits, threshold, rotations), bits))
-        found = stored(link_tables(reps, shared, threshold), "vector-links")
+    width = F.length("data")  # vectors of each width have codes and tables of their own
+    counts = {r[0]: r[1] for r in reps.groupBy(width.alias("w")).count().where("count > 1").collect()}
+    parts = [links_of_width(reps.where(width == w), n, w // 8, threshold, sample_rows, rotations) for w, n in sorted(counts.items())]
+    found = reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], "a long, b long, n long")
     component = components(found.where("n = 0").select("a", "b"))
     links = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     grouped = classes.join(component, F.col("rep") == component.node).select("digest", "first_id", "component")
@@ -233,6 +245,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample_row
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def links_of_width(reps: DataFrame, n: int, width: int, threshold: float, sample_rows: int, rotations: int) -> DataFrame:
+    """Links and link counts of ``n`` different vectors of one width."""
+    keep = min(1.0, sample_rows / n)
+    sample = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < F.lit(keep * (1 << 20))).orderBy(F.xxhash64("rep")).limit(2 * sample_rows)
+    sample = sample.select("data").toPandas()["data"]
+    bits = substring_bits(n, width)
+    # a table so small that none of its rows fell into the sample is coded by random rotations
+    learned = enough_rotations(unit(np.frombuffer(b"".join(sample), np.float64).reshape(len(sample), -1)), bits, threshold, rotations) if len(sample) else (
+        learn_rotations(np.zeros((0, width)), 2 * max(rotations, rotations_needed(bits, width, threshold))))
+    shared = reps.sparkSession.sparkContext.broadcast((learned, bits))
+    return stored(link_tables(reps, shared, threshold), "vector-links")
+
+
 def link_tables(reps: DataFrame, shared, threshold: float) -> DataFrame:
     rows = stored(reps.select("rep", "copies", "data").mapInArrow(table_rows(shared), "slot int, key long, rep long, copies long, data binary"), "vector-tables")
     buckets = rows.groupBy("slot", "key").count().where("count > 1").select(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartouche.llm.vectors import matrix
+from cartouche.llm.graph import stored
 
 SCALE = 1024
 QUERY_BLOCK = 512
@@ -56,17 +56,17 @@ def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
-    """``query row, candidate row, score`` of each query's k best rows other than its own."""
+def search(queries: np.ndarray, query_ids: np.ndarray, asking: np.ndarray, rows: np.ndarray, ids: np.ndarray, numbers: np.ndarray, k: int):
+    """Scores and ids of each query's k best rows; row numbers tell a query's own row, ``asking``, from others under its id."""
     best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in query_ids]
     floor = np.full(len(query_ids), -np.inf)
     levels = [min(r, rows.shape[1]) for r in RESOLUTIONS]
     of_query = [statistics(queries, s) for s in levels]
     norms = np.sqrt((queries ** 2).sum(1))
     for at in range(0, len(ids), CHUNK):
-        x, x_ids = rows[at:at + CHUNK], ids[at:at + CHUNK]
+        x, x_ids, x_numbers = rows[at:at + CHUNK], ids[at:at + CHUNK], numbers[at:at + CHUNK]
         slack = 1e-9 * norms[:, None] * np.sqrt((x ** 2).sum(1))[None, :] + 1e-6
-        alive = query_ids[:, None] != x_ids[None, :]
+        alive = asking[:, None] != x_numbers[None, :]
         for s, stats in zip(levels, of_query):
             some = alive.any(1)
             bound = stats[some] @ statistics(x, s).T + slack[some]
@@ -82,35 +82,27 @@ def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np
     return best
 
 
-VECTORS = "part long, count long, width long, ids binary, data binary"
+VECTORS = "part long, width long, ids binary, numbers binary, data binary"
 
 
-def pack_vectors(part_name: str):
-    def run(table: pa.Table) -> pa.Table:
-        x, rows = matrix(table["embedding"])
-        ids = np.asarray(table["vec_id"])[rows]
-        return pa.table({
-            "part": pa.array([table[part_name][0].as_py()], pa.int64()), "count": pa.array([len(ids)], pa.int64()),
-            "width": pa.array([x.shape[1]], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
-            "data": pa.array([np.floor(x * SCALE).tobytes()], pa.binary()),
-        })
-
-    return run
-
-
-def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["data"]).reshape(row["count"], -1) if row["count"] else np.zeros((0, 0))
+def pack_vectors(table: pa.Table) -> pa.Table:
+    """Rows of one width and part, all of which take part, as one row of packed arrays."""
+    width = table["width"][0].as_py()
+    x = np.asarray(table["embedding"].combine_chunks().flatten(), np.float64).reshape(-1, width)
+    ids, numbers = (np.asarray(table[c]) for c in ("vec_id", "number"))
+    return pa.table({
+        "part": table["part"].combine_chunks()[:1].cast(pa.int64()), "width": pa.array([width], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
+        "numbers": pa.array([numbers.tobytes()], pa.binary()), "data": pa.array([np.floor(x * SCALE).tobytes()], pa.binary()),
+    })
 
 
 def search_cell(k: int):
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                query_ids, queries = unpacked({c: r[f"q_{c}"] for c in ("ids", "data", "count")})
-                ids, rows = unpacked({c: r[c] for c in ("ids", "data", "count")})
-                if not len(query_ids) or not len(ids) or queries.shape[1] != rows.shape[1]:
-                    continue
-                best = search(queries, query_ids, rows, ids, k)
+                query_ids, asking, ids, numbers = (np.frombuffer(r[c], np.int64) for c in ("q_ids", "q_numbers", "ids", "numbers"))
+                queries, rows = (np.frombuffer(r[c]).reshape(-1, r["width"]) for c in ("q_data", "data"))
+                best = search(queries, query_ids, asking, rows, ids, numbers, k)
                 found = [len(s) for s, _ in best]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(query_ids, found)), pa.array(np.concatenate([i for _, i in best])), pa.array(np.concatenate([s for s, _ in best])),
@@ -123,21 +115,25 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` rows of highest score, ties to the smaller ``vec_id``.
 
     A component x counts as floor(1024 * x). Queries are the rows whose ``vec_id`` is divisible by ``every``; candidates
-    are all rows with another id. Rows with a null id, a null or empty vector, or a null or non-finite component take no
-    part. Repeated rows are queries and candidates once: rows with equal ids count as one, by the smallest vector.
-    Fewer candidates than ``k`` give fewer rows; an empty table gives none. Scores beyond a long raise an error.
+    are all rows but the query's own. Rows with a null id, a null or empty vector, or a null or non-finite component take no
+    part; vectors of different widths do not meet. Repeated rows and ids are candidates as often as they stand there; of
+    the rows under a query's id the smallest vector asks, and the others are candidates. Fewer candidates than ``k`` give
+    fewer rows; an empty table gives none. Scores beyond a long raise an error.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null")
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    total = vectors.count()
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite).withColumn("width", F.size("embedding").cast("long"))
+    rows = stored(rows.withColumn("number", F.monotonically_increasing_id()), "top-k-rows")
+    total = rows.count()
     slices = max(LEAST_SLICES, -(-total // ROW_SLICE))
     blocks = max(1, -(-total // (every * QUERY_BLOCK)))
-    part = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n))
-    packed = rows.withColumn("slice", part(slices, 1)).groupBy("slice").applyInArrow(pack_vectors("slice"), VECTORS)
-    queries = rows.where(F.col("vec_id") % every == 0).withColumn("block", part(blocks, 2)).groupBy("block").applyInArrow(pack_vectors("block"), VECTORS)
+    part = lambda n, seed: F.pmod(F.xxhash64("vec_id", "number", F.lit(seed)), F.lit(n))
+    packed = rows.withColumn("part", part(slices, 1)).groupBy("part", "width").applyInArrow(pack_vectors, VECTORS)
+    asking = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("embedding", "number", "width")).alias("q")).select("vec_id", "q.*")
+    queries = asking.withColumn("part", part(blocks, 2)).groupBy("part", "width").applyInArrow(pack_vectors, VECTORS)
     # the grid: a block of queries is sent to every slice of rows
-    queries = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("part"), *[
-        F.col(c).alias(f"q_{c}") for c in ("ids", "data", "count")])
-    found = packed.join(queries, "part").mapInArrow(search_cell(k), "query_id long, vec_id long, score long")
+    queries = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("part"), "width", *[
+        F.col(c).alias(f"q_{c}") for c in ("ids", "numbers", "data")])
+    found = packed.join(queries, ["part", "width"]).mapInArrow(search_cell(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors in double precision, and the rows they come from.
+def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Vectors in double precision and the rows they come from, one matrix for each width.
 
-    Rows that are null, empty, or hold a null or non-finite component take no part; neither do rows of another length
-    than the first that does (a table's vectors have one dimension).
+    Rows that are null, empty, or hold a null or non-finite component take no part.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -20,11 +21,8 @@ def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0) if n else np.zeros(0, np.int64)
     values = column.values.cast(pa.float64())
     flat = np.asarray(values.fill_null(np.nan)) if len(values) else np.zeros(0)
-    rows = np.flatnonzero(sizes > 0)
-    if not len(rows):
-        return np.zeros((0, 0)), rows
-    rows = rows[sizes[rows] == sizes[rows[0]]]
-    width = int(sizes[rows[0]])
-    out = flat[offsets[:-1][rows][:, None] + np.arange(width)]
-    good = np.isfinite(out).all(1)
-    return out[good], rows[good]
+    for width in np.unique(sizes[sizes > 0]).tolist():
+        rows = np.flatnonzero(sizes == width)
+        out = flat[offsets[:-1][rows][:, None] + np.arange(width)]
+        good = np.isfinite(out).all(1)
+        yield out[good], rows[good]
