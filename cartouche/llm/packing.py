@@ -9,11 +9,13 @@ Nothing larger than the plan, which depends on the capacity and not on the corpu
 
 from __future__ import annotations
 
+import os
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -163,12 +165,12 @@ def segment_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 
 
 class Encoder:
-    """Ids of whole texts. Distinct segments of a batch are encoded once, those met before not at all while there is room."""
+    """Ids of whole texts. The tokenizer is a file, or the name of a public one, which each machine has in its own place. Distinct segments of a batch are encoded once, those met before not at all while there is room."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path if os.path.isabs(path) else public_tokenizers.path(path))
         self.tokenizer.encode_special_tokens = True
         self.forget()
 
@@ -177,14 +179,14 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, keys: np.ndarray, segments: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([s.decode() for s in segments], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
         lists = [e.ids for e in found]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.uint32, int(size.sum()))])
-        keys = np.r_[self.keys, keys]
-        order = np.argsort(keys)
-        self.keys, self.at, self.size = keys[order], np.r_[self.at, at][order], np.r_[self.size, size][order]
+        self.ids = np.concatenate([self.ids, np.array([i for x in lists for i in x], np.uint32)])
+        # both runs are sorted: each new key goes where it belongs
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.at, self.size = np.insert(self.keys, place, keys), np.insert(self.at, place, at), np.insert(self.size, place, size)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""

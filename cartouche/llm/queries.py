@@ -113,7 +113,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in sequences of at most 1024."""
-    return pack_documents(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return pack_documents(documents(spark, sf_dir), "byte_bpe_50k.json")
 
 
 @query
