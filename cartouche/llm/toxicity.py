@@ -13,6 +13,7 @@ logistic); the model keeps the ``most_ngrams`` commonest n-grams of each kind. S
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +33,15 @@ STEM = 4
 WORD_STRENGTH = 5.0  # pseudo-counts of the backoff within a beginning, and after a history
 PAIR_STRENGTH = 200.0
 BEGIN = np.uint64(0x1F123BB5159A55E5)
-SLICE = 2 << 20
+SLICE = 512 << 10  # about twenty arrays of eight bytes a word live at once
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on, idle, while other stages run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,6 +78,7 @@ def count_pairs(batches):
         bad = np.add.reduceat(t.astype(np.int64), starts)
         ids = [pa.array(x.view(np.int64)) for x in (h[starts], w[starts], stems[order][starts])]
         yield pa.RecordBatch.from_arrays([*ids, pa.array(bad), pa.array(both - bad)], names=["history", "word", "stem", "t", "o"])
+    give_back()
 
 
 @dataclass
@@ -199,6 +209,7 @@ def features_of(shared):
         for batch in slices(batches, "text", SLICE):
             x = text_features(*shared.value.ratios(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column(1)], names=["mean", "best", "toxic"])
+        give_back()
 
     return run
 
@@ -247,6 +258,7 @@ def score_toxicity(documents: DataFrame, model: Toxicity) -> DataFrame:
     def run(batches):
         for batch in slices(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(batch.column(at)))], names=[*own, "score"])
+        give_back()
 
     schema = T.StructType([*documents.schema.fields, T.StructField("score", T.DoubleType())])
     return documents.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
