@@ -1,22 +1,29 @@
 """Sharding by a hypergeometric communication matrix: a uniform shuffle with exact shard sizes.
 
-Rows fall into cells by a hash of the row, and cells are counted. From the counts alone the driver draws how many rows
-each cell sends to each shard: a multivariate hypergeometric draw per cell without replacement, which is the law of a
-uniform permutation cut into shards. Each cell deals its rows by a local random order, the rows are exchanged, and each
-shard is permuted again: its rows fall into blocks by a fresh random number, and a row's slot is its block's offset and
-its rank there. No window holds more than a cell or a block, whose number follows the number of rows.
+Rows fall into cells by a hash of the row, cells into at most ``GROUPS`` groups, and both are counted. How many rows each
+part sends to each shard is a multivariate hypergeometric draw without replacement, which is the law of a uniform
+permutation cut into shards. The law is closed under merging parts, so the driver draws for the groups alone, whose
+number does not grow, and tasks split each group's draw among its cells. Each cell deals its rows by a local random
+order, the rows are exchanged, and each shard is permuted again: its rows fall into blocks by a fresh random number, and a
+row's slot is its block's offset and its rank there. No window over rows holds more than a cell or a block, whose number
+follows the number of rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartouche.llm.graph import stored
+
 SHARDS = 16
 ROWS_PER_CELL = 20_000
 LEAST_CELLS = 64
+GROUPS = 1024
+LARGEST = 1_000_000_000  # numpy draws from fewer rows than this
 
 
 def exact_sizes(rows: int, shards: int) -> np.ndarray:
@@ -24,40 +31,49 @@ def exact_sizes(rows: int, shards: int) -> np.ndarray:
     return np.full(shards, rows // shards) + (np.arange(shards) < rows % shards)
 
 
-def communication_matrix(cells: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Rows that each cell sends to each shard; its row sums are ``cells``, its column sums the exact sizes."""
-    rng = np.random.default_rng(seed)
-    left = exact_sizes(int(cells.sum()), shards).astype(np.int64)
-    out = np.empty((len(cells), shards), np.int64)
-    for i, n in enumerate(cells):
-        out[i] = draw(rng, left, int(n))
+def communication_matrix(parts: np.ndarray, left: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Rows that each part sends to each shard; its row sums are ``parts``, its column sums ``left``."""
+    left = left.astype(np.int64)
+    out = np.zeros((len(parts), len(left)), np.int64)
+    for i, n in enumerate(parts.tolist()):
+        rest = int(left.sum())
+        for k, good in enumerate(left.tolist()):
+            rest -= good
+            out[i, k] = hypergeometric(rng, good, rest, n)
+            n -= int(out[i, k])
         left -= out[i]
     return out
 
 
-def draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One multivariate hypergeometric draw, shard by shard; for populations beyond numpy's bound in exact halves."""
-    out = np.zeros(len(left), np.int64)
-    rest = int(left.sum())
-    for k, good in enumerate(left.tolist()):
-        rest -= good
-        if n == 0:
-            break
-        out[k] = n if rest == 0 else hypergeometric(rng, good, rest, n)
-        n -= int(out[k])
-    return out
-
-
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Numpy's draw takes at most 1e9 of a kind; larger populations are drawn row by row of the smaller sample."""
-    if good + bad < 1_000_000_000:
-        return int(rng.hypergeometric(good, bad, n))
+    """Good rows among ``n`` drawn of ``good + bad`` without replacement.
+
+    Too many for numpy: every row stands at a uniform place of a line, and the first ``n`` are drawn. The middle good row's
+    place is a beta variable, and the bad rows before it are binomial. Either all rows up to it are drawn, or none from it
+    on; what is left is a line with half as many good rows.
+    """
     taken = 0
-    for _ in range(n):
-        hit = rng.integers(good + bad) < good
-        taken += hit
-        good, bad = (good - 1, bad) if hit else (good, bad - 1)
-    return taken
+    while good and bad and n and good + bad >= LARGEST:
+        middle = (good + 1) // 2
+        before = int(rng.binomial(bad, rng.beta(middle, good + 1 - middle)))
+        if middle + before <= n:
+            taken, good, bad, n = taken + middle, good - middle, bad - before, n - middle - before
+        else:
+            good, bad = middle - 1, before
+    if not (good and bad and n):
+        return taken + min(good, n)
+    return taken + int(rng.hypergeometric(good, bad, n))
+
+
+def split_groups(matrix: np.ndarray, seed: int):
+    """For the cells of one group: how many of a cell's rows, in random order, go to shards up to each."""
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values("__cell")
+        group = int(cells["__group"].iloc[0])
+        sent = communication_matrix(cells["count"].to_numpy(), matrix[group], np.random.default_rng([seed, group]))
+        return pd.DataFrame({"__cell": cells["__cell"], "__bounds": list(np.cumsum(sent, axis=1))})
+
+    return run
 
 
 def random_of(row: list[Column], seed: int) -> Column:
@@ -72,30 +88,27 @@ def shard_rows(rows: DataFrame, row: list[str], shards: int = SHARDS, seed: int
     An empty table gives an empty result.
     """
     rows = rows.select([f"`{c}`" for c in rows.columns if c not in ("shard", "slot")])
-    spark, own = rows.sparkSession, rows.columns
+    own = rows.columns
     total = rows.count()
     cells = max(LEAST_CELLS, -(-total // ROWS_PER_CELL))
     ids = [F.col(f"`{c}`") for c in row]
     dealt = rows.withColumn("__cell", F.pmod(random_of(ids, seed), F.lit(cells))).withColumn("__order", random_of(ids, seed + 1))
-    counted = {r["__cell"]: r["count"] for r in dealt.groupBy("__cell").count().collect()}  # one number a cell
-    sizes = np.array([counted.get(i, 0) for i in range(cells)], np.int64)
-    bounds = np.cumsum(communication_matrix(sizes, shards, seed), axis=1)
-    plan = spark.createDataFrame([(i, [int(x) for x in b]) for i, b in enumerate(bounds)], "__cell long, __bounds array<long>")
+    counted = stored(dealt.groupBy("__cell").count().withColumn("__group", F.col("__cell") % GROUPS), "shard-cells")
+    sizes = np.zeros(min(GROUPS, cells), np.int64)
+    for r in counted.groupBy("__group").agg(F.sum("count").alias("rows")).collect():  # at most GROUPS
+        sizes[r["__group"]] = r["rows"]
+    matrix = communication_matrix(sizes, exact_sizes(total, shards), np.random.default_rng(seed))
+    plan = counted.groupBy("__group").applyInPandas(split_groups(matrix, seed), "__cell long, __bounds array<long>")
     rank = F.row_number().over(W.partitionBy("__cell").orderBy("__order", *ids))
-    sent = dealt.withColumn("__rank", rank).join(F.broadcast(plan), "__cell")
+    sent = dealt.withColumn("__rank", rank).join(plan, "__cell")
     sent = sent.withColumn("shard", F.size(F.filter("__bounds", lambda b: b < F.col("__rank"))).cast("int"))
 
     blocks = max(-(-LEAST_CELLS // shards), -(-total // (shards * ROWS_PER_CELL)))
     fresh = F.shiftrightunsigned(random_of(ids, seed + 2), 1)
     sent = sent.withColumn("__order", fresh).withColumn("__block", F.floor(fresh / F.lit(2.0 ** 63 / blocks)).cast("int"))
-    counted = {(r["shard"], r["__block"]): r["count"] for r in sent.groupBy("shard", "__block").count().collect()}
-    offsets, at = [], 0
-    for s in range(shards):
-        at = 0
-        for b in range(blocks + 1):  # the last is for a rounded-up quotient
-            offsets.append((s, b, at))
-            at += counted.get((s, b), 0)
-    table = spark.createDataFrame(offsets, "shard int, __block int, __offset long")
+    sent = stored(sent.select(*[f"`{c}`" for c in own], "shard", "__order", "__block"), "shard-rows")
+    before = F.sum("count").over(W.partitionBy("shard").orderBy("__block").rowsBetween(W.unboundedPreceding, -1))  # over counts of blocks
+    table = sent.groupBy("shard", "__block").count().select("shard", "__block", F.coalesce(before, F.lit(0)).alias("__offset"))
     rank = F.row_number().over(W.partitionBy("shard", "__block").orderBy("__order", *ids))
-    return sent.withColumn("__rank", rank).join(F.broadcast(table), ["shard", "__block"]).select(
+    return sent.withColumn("__rank", rank).join(table, ["shard", "__block"]).select(
         *[f"`{c}`" for c in own], "shard", (F.col("__offset") + F.col("__rank") - 1).cast("long").alias("slot"))
