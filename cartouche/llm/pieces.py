@@ -5,7 +5,8 @@ before it. Distinct words of a batch are grouped by length, and all words of a l
 position, hashes of the substrings that end there probe the sorted hashes of the pieces, and the best allowed piece
 is stored as a backpointer. Which transition is allowed follows the model: its vocabulary was made by merging pairs, and
 two neighbouring pieces stand in an encoding exactly if merging their joint text would not cross their boundary. That is
-checked by undoing merges on both sides, again for all words at once. Exactly one allowed piece ends at each position, so
+checked by undoing merges on both sides, again for all words at once. New words of several slices of text are encoded
+together, so that numpy's calls, of which a word length needs about as many as it has spans, are few for many words. Exactly one allowed piece ends at each position, so
 the result is the encoding of the model's own library. Characters outside the vocabulary become byte pieces.
 """
 
@@ -18,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cartouche.llm.words import mix, slices
+from cartouche.llm.words import give_back, mix, slices
 
 MARK = 0x2581
 SPACE = 0x20
 MOST_CACHED = 1 << 20
-WORDS_AT_ONCE = 20_000
+CELLS_AT_ONCE = 400_000  # characters of equally long words that advance together
+BATCH, SLICE = 8 << 20, 1 << 19  # bytes of text whose new words are learned together, and that are encoded together
 FILTER_BITS = 20
 RADIX = np.uint64(0xC2B2AE3D27D4EB4F)
 FAR = np.int64(1) << 40
@@ -157,7 +159,7 @@ class Pieces:
         up, down = powers(n + 1)
         sums = np.zeros((words, n + 1), np.uint64)
         np.cumsum(char_values(chars) * up[:-1], axis=1, dtype=np.uint64, out=sums[:, 1:])
-        back = np.full((words, n + 1), self.unknown, np.int64)
+        back = np.full((words, n + 1), self.unknown, np.int32)
         for end in range(1, n + 1):
             unsettled = np.arange(words)
             for size in range(min(end, self.longest), 0, -1):
@@ -173,7 +175,7 @@ class Pieces:
                     unsettled = np.delete(unsettled, some)
                 if not len(unsettled):
                     break
-        out, at = np.full((words, n), -1, np.int64), np.full(words, n)
+        out, at = np.full((words, n), -1, np.int32), np.full(words, n)
         for column in range(n - 1, -1, -1):
             going = np.flatnonzero(at > 0)
             if not len(going):
@@ -189,8 +191,9 @@ class Pieces:
         parts, found, lengths = [], [], []
         for n in np.unique(sizes).tolist():
             group = np.flatnonzero(sizes == n)
-            for at in range(0, len(group), WORDS_AT_ONCE):
-                part = group[at:at + WORDS_AT_ONCE]
+            most = max(CELLS_AT_ONCE // n, 1)
+            for at in range(0, len(group), most):
+                part = group[at:at + most]
                 letters = chars[starts[part][:, None] + np.arange(n)]
                 pieces, counts = self.viterbi(letters)
                 ids, counts = self.with_bytes(letters, pieces, counts)
@@ -223,8 +226,8 @@ class Pieces:
         row = np.repeat(np.arange(len(counts)), counts)
         return out.astype(np.int32), np.bincount(row, size, len(counts)).astype(np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and the number of ids of each."""
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Characters of all texts, each text's edges, the words' starts and ends, and the space marks before each word."""
         marked = [chr(MARK) + t if t else "" for t in texts]
         chars = np.frombuffer("".join(marked).replace(" ", chr(MARK)).encode("utf-32-le"), np.uint32)
         edge = np.cumsum([0, *map(len, marked)])
@@ -239,7 +242,30 @@ class Pieces:
         opens[edge[:-1][np.diff(edge) > 0]] = True
         open_at = np.flatnonzero(opens)  # one for each word: where its run begins
         ends = np.r_[open_at[1:], len(chars)][:len(starts)]
-        run = starts - open_at
+        return chars, edge, starts, ends, starts - open_at
+
+    def prepare(self, parts: list[list[str]]) -> None:
+        """Learn the new words of all parts at once."""
+        keys, letters, sizes = [self.word_keys[:0]], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for texts in parts:
+            chars, _, starts, ends, _ = self.cut(texts)
+            found, first = np.unique(span_hashes(chars, starts, ends), return_index=True)
+            fresh = missing(found, self.word_keys)
+            starts, size = starts[first[fresh]], (ends - starts)[first[fresh]]
+            keys.append(found[fresh])
+            sizes.append(size)
+            letters.append(chars[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))])
+        sizes = np.concatenate(sizes)
+        ends = np.cumsum(sizes)
+        keys, first = np.unique(np.concatenate(keys), return_index=True)
+        if len(self.word_keys) + len(keys) > MOST_CACHED:
+            self.forget()  # words met before are learned again where they occur
+        if len(keys):
+            self.learn(keys, np.concatenate(letters), (ends - sizes)[first], ends[first])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the number of ids of each."""
+        chars, edge, starts, ends, run = self.cut(texts)
         keys, first, where = np.unique(span_hashes(chars, starts, ends), return_index=True, return_inverse=True)
         fresh = missing(keys, self.word_keys)
         if len(self.word_keys) + len(fresh) > MOST_CACHED:
@@ -280,6 +306,24 @@ def pieces_of(path: str) -> Pieces:
     return Pieces(path)
 
 
+def encode_batches(batches, at: int, model: str):
+    """Every slice of text with its ids, the number of ids of each row, and which rows are null."""
+    for batch in slices(batches, "text", BATCH):
+        parts = list(slices([batch], "text", SLICE))
+        pieces = pieces_of(model)
+        pieces.prepare([[t or "" for t in part.column(at).to_pylist()] for part in parts])
+        for part in parts:
+            texts = part.column(at).to_pylist()
+            ids, counts = pieces.encode([t or "" for t in texts])
+            yield part, ids, counts, np.array([t is None for t in texts])
+    give_back()
+
+
+def id_lists(ids: np.ndarray, counts: np.ndarray, null: np.ndarray) -> pa.ListArray:
+    offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32), mask=np.r_[null, False])
+    return pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+
+
 def encode_texts(documents: DataFrame, model: str) -> DataFrame:
     """All columns with ``ids`` (array of int); an input column of that name is replaced.
 
@@ -291,15 +335,27 @@ def encode_texts(documents: DataFrame, model: str) -> DataFrame:
     at = own.index("text")
 
     def run(batches):
-        for batch in slices(batches, "text", 1 << 20):
-            texts = batch.column(at).to_pylist()
-            ids, counts = pieces_of(model).encode([t or "" for t in texts])
-            offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], names=[*own, "ids"])
+        for part, ids, counts, null in encode_batches(batches, at, model):
+            yield pa.RecordBatch.from_arrays([*part.columns, id_lists(ids, counts, null)], names=[*own, "ids"])
 
     return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
+def round_trip(documents: DataFrame, model: str) -> DataFrame:
+    """All columns but ``text`` with ``ids`` and ``decoded``: ``decode_ids`` of ``encode_texts`` in one Python step."""
+    kept = [c for c in documents.columns if c not in ("ids", "decoded")]
+    documents = documents.select([f"`{c}`" for c in kept])
+    at, own = kept.index("text"), [c for c in kept if c != "text"]
+
+    def run(batches):
+        for part, ids, counts, null in encode_batches(batches, at, model):
+            texts = pa.array(pieces_of(model).decode(ids, counts), pa.string(), mask=null)
+            yield pa.RecordBatch.from_arrays([*[part.column(kept.index(c)) for c in own], id_lists(ids, counts, null), texts], names=[*own, "ids", "decoded"])
+
+    more = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return documents.mapInArrow(run, T.StructType([*[f for f in documents.schema.fields if f.name != "text"], *more]))
+
+
 def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
     """All columns with ``decoded``, the text of ``ids``; null where ``ids`` is null. Ids outside the vocabulary raise an error."""
     own = [c for c in encoded.columns if c != "decoded"]

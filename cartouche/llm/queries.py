@@ -14,7 +14,7 @@ from cartouche.llm.katz import katz_scores, remainder
 from cartouche.llm.lexical import lexical_search
 from cartouche.llm.packing import pack_documents
 from cartouche.llm.personal import find_personal
-from cartouche.llm.pieces import decode_ids, encode_texts
+from cartouche.llm.pieces import round_trip
 from cartouche.llm.repair import audit_conversations, damaged
 from cartouche.llm.sharding import SHARDS, shard_rows
 from cartouche.llm.shipping import ship
@@ -67,8 +67,7 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and the text that they decode to."""
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    rows = decode_ids(encode_texts(documents(spark, sf_dir), model), model)
-    return rows.select(
+    return round_trip(documents(spark, sf_dir), model).select(
         "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_xxhash64"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

@@ -13,7 +13,6 @@ logistic); the model keeps the ``most_ngrams`` commonest n-grams of each kind. S
 
 from __future__ import annotations
 
-import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartouche.llm.graph import stored
-from cartouche.llm.words import LOWER, mix, slices, text_buffers, word_hashes, word_spans
+from cartouche.llm.words import LOWER, give_back, mix, slices, text_buffers, word_hashes, word_spans
 
 MOST_ROWS = 4096
 MOST_NGRAMS = 1 << 19
@@ -36,14 +35,6 @@ BEGIN = np.uint64(0x1F123BB5159A55E5)
 SLICE = 512 << 10  # about twenty arrays of eight bytes a word live at once
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on, idle, while other stages run."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word, beginning, history and number of words of each text."""
     data, offsets = text_buffers(texts)

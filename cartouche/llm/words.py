@@ -6,6 +6,7 @@ byte values, finished by a bijective mix, so equal words always have equal hashe
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -101,6 +102,14 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return block_powers() if size <= BLOCK_BYTES else long_powers(size)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on, idle, while other stages run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes."""
     out = np.empty(len(starts), np.uint64)

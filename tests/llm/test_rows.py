@@ -1,8 +1,10 @@
 """Personal data, sharding, packing, pieces and toxicity on small fixtures."""
 
+import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -65,13 +67,57 @@ def test_shards(spark, monkeypatch, rows):
     assert sum(sizes) == rows and max(sizes) - min(sizes) <= 1
 
 
+def matrix(cells, seed):
+    return sharding.communication_matrix(np.array(cells), sharding.exact_sizes(sum(cells), 4), np.random.default_rng(seed))
+
+
 def test_shards_are_uniform():
     """Counts of the communication matrix follow the hypergeometric law: mean and variance of one entry."""
-    cells = np.array([30, 50, 20])
-    drawn = np.array([sharding.communication_matrix(cells, 4, s)[0, 0] for s in range(4000)])
+    drawn = np.array([matrix([30, 50, 20], s)[0, 0] for s in range(4000)])
     assert abs(drawn.mean() - 7.5) < 0.12 and abs(drawn.var() - 30 * 0.25 * 0.75 * 70 / 99) < 0.4
 
 
+def test_split_groups_keep_the_law():
+    """A group's draw split among its cells is the draw of the cells: every entry's mean and variance, and all sums."""
+    cells, drawn = np.array([4, 9, 7, 10]), []
+    for seed in range(3000):
+        group = sharding.communication_matrix(np.array([cells[:2].sum(), cells[2:].sum()]), sharding.exact_sizes(30, 3), np.random.default_rng(seed))
+        parts = [sharding.communication_matrix(cells[2 * g:2 * g + 2], group[g], np.random.default_rng([seed, g])) for g in (0, 1)]
+        drawn.append(np.concatenate(parts))
+        assert (drawn[-1].sum(0) == 10).all() and (drawn[-1].sum(1) == cells).all()
+    mean, var = np.mean(drawn, 0), np.var(drawn, 0)
+    want = cells[:, None] / 3 * np.ones(3)
+    assert np.abs(mean - want).max() < 0.15 and np.abs(var - want * 2 / 3 * ((30 - cells) / 29)[:, None]).max() < 0.2
+
+
+@pytest.mark.parametrize("good, bad, n", [(12, 30, 9), (5, 4, 7), (40, 3, 20), (1, 50, 25)])
+def test_large_draws_keep_the_law(monkeypatch, good, bad, n):
+    monkeypatch.setattr(sharding, "LARGEST", 2)
+    rng = np.random.default_rng(3)
+    seen = np.bincount([sharding.hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1) / 20_000
+    law = np.array([math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) if k <= good and n - k <= bad else 0 for k in range(n + 1)])
+    assert np.abs(seen - law).max() < 0.02
+
+
+def test_matrix_of_many_rows():
+    """10^11 rows in all groups, drawn on the driver in seconds."""
+    cells = np.full(sharding.GROUPS, 10**11 // sharding.GROUPS) + np.arange(sharding.GROUPS)
+    begun = time.time()
+    drawn = sharding.communication_matrix(cells, sharding.exact_sizes(int(cells.sum()), 16), np.random.default_rng(1))
+    assert time.time() - begun < 10 and (drawn.sum(1) == cells).all() and np.ptp(drawn.sum(0)) <= 1
+    assert np.abs(drawn / cells[:, None] - 1 / 16).max() < 6 * (1 / 16 / cells.min()) ** 0.5
+
+
+def test_slots_follow_no_order(spark):
+    """A row's place says nothing about its id, its neighbours, or a text that many rows share."""
+    rows = sharding.shard_rows(spark.range(16_000).select("id", (F.col("id") % 4).alias("text")), ["id"]).orderBy("shard", "slot").toPandas()
+    at = rows["id"].to_numpy().astype(float)
+    assert abs(np.corrcoef(at, rows["shard"] * 1000 + rows["slot"])[0, 1]) < 0.04 and abs(np.corrcoef(at[1:], at[:-1])[0, 1]) < 0.04
+    assert abs(np.corrcoef(at, rows["slot"])[0, 1]) < 0.04
+    held = rows.groupby(["text", "shard"]).size()
+    assert len(held) == 64 and ((held - 250) ** 2 / 250).sum() < 90  # chi-squared, 45 degrees of freedom
+
+
 @pytest.mark.parametrize("histogram", [{10: 10**6, 7: 3}, {600: 1000, 500: 10}, {1024: 5}, {i: 10**9 // i for i in range(1, 1025)}, {1: 1}, {}])
 def test_plans_pack_every_piece(histogram):
     plan = packing.make_plan(histogram, 1024)
@@ -135,7 +181,27 @@ def test_pieces_are_the_librarys(spark, sf_dir):
     out = pieces.decode_ids(pieces.encode_texts(docs, PIECES), PIECES)
     assert out.where("NOT decoded <=> text OR (ids IS NULL) <> (text IS NULL)").count() == 0 and out.count() == docs.count()
     assert all(r.ids == model.encode(r.text) for r in out.where("text IS NOT NULL").collect())
-    assert pieces.encode_texts(docs.limit(0), PIECES).count() == 0
+    once = pieces.round_trip(docs, PIECES)
+    assert once.columns == ["doc_id", "ids", "decoded"] and once.exceptAll(out.drop("text")).count() == 0 and once.count() == docs.count()
+    assert pieces.encode_texts(docs.limit(0), PIECES).count() == pieces.round_trip(docs.limit(0), PIECES).count() == 0
+
+
+@pytest.mark.parametrize("most", [4, 60, 1 << 20])
+def test_words_learned_together(monkeypatch, most):
+    """Words prepared for several parts at once, also while the memory of words overflows, give the library's ids."""
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "MOST_CACHED", most)
+    monkeypatch.setattr(pieces, "CELLS_AT_ONCE", 7)
+    model, mine, rng = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.Pieces(PIECES), random.Random(5)
+    words = ["", "a", "the", "unsettled", "\u00e9t\u00e9", "\u6f22\u5b57", "x" * 40, "\U0001f600", "ab\n", "  ", "1234567"] + ["".join(rng.choices("abcde", k=6)) for _ in range(60)]
+    for _ in range(3):
+        parts = [[" ".join(rng.choices(words, k=rng.randrange(20))) for _ in range(rng.randrange(4))] for _ in range(5)]
+        mine.prepare(parts)
+        for texts in parts:
+            ids, counts = mine.encode(texts)
+            cut = np.r_[0, np.cumsum(counts)]
+            assert [ids[a:b].tolist() for a, b in zip(cut, cut[1:])] == [model.encode(t) for t in texts]
 
 
 def test_toxicity(spark):
