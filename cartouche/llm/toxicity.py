@@ -1,14 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Models of toxic and of ordinary texts discount what a class has counted and back off from bigrams to words, from words
-to their beginnings (the first ``STEM`` characters, as inflected and compound words share them), and from these to
-counts that both classes share; within a beginning, and for n-grams of fewer than LEAST_COUNT occurrences, both classes
-use the same pooled shares, so a rare expression costs both the same. A text's score is the logistic of the
-length-normalised log-likelihood ratio of the whole text and that of its most toxic run of ``RUN`` words, fitted on
-labelled texts that the counts have not seen.
+Models of toxic and of ordinary texts discount what a class has counted and back off: from bigrams to words, which count
+the distinct words that they follow; from words to their beginnings (the first ``STEM`` characters, as inflected and
+compound words share them), which count distinct bigrams; and from these to counts that both classes share. Each class and
+history has a distribution that sums to one. N-grams that both classes together hold fewer than ``LEAST_COUNT`` times
+(bigrams: ``LEAST_PAIRS``) leave their counts to what they back off to, so a rare expression costs both classes nearly the same. A text's score is the
+logistic of the length-normalised log-likelihood ratio of the whole text and that of its most toxic run of ``RUN``
+words, fitted on labelled texts that the counts have not seen.
 
 Fitting reads a bounded sample of labelled rows (``most_rows`` of each class for the counts, twice as many in all for the
-logistic); the model keeps the ``most_ngrams`` commonest n-grams of each kind. Scoring reads every text.
+logistic), so the model is bounded by their texts. Scoring reads every text.
 """
 
 from __future__ import annotations
@@ -25,12 +26,10 @@ from cartouche.llm.graph import stored
 from cartouche.llm.words import LOWER, give_back, mix, slices, text_buffers, word_hashes, word_spans
 
 MOST_ROWS = 4096
-MOST_NGRAMS = 1 << 19
-LEAST_COUNT = 5  # of both classes together; rarer n-grams have their shared backoff only
+LEAST_COUNT = 5  # of both classes together; words and beginnings
+LEAST_PAIRS = 30  # bigrams; this and RUN have the least log loss on labelled rows outside the counts
 RUN = 1
 STEM = 4
-WORD_STRENGTH = 5.0  # pseudo-counts of the backoff within a beginning, and after a history
-PAIR_STRENGTH = 200.0
 BEGIN = np.uint64(0x1F123BB5159A55E5)
 SLICE = 512 << 10  # about twenty arrays of eight bytes a word live at once
 
@@ -74,15 +73,13 @@ def count_pairs(batches):
 
 @dataclass
 class Level:
-    """One kind of n-gram: sorted keys; counts and types of what follows or begins with it, by class (0 toxic, 1 ordinary).
-
-    Every array has one more column, of zeros, for keys that are not kept.
-    """
+    """N-grams of one kind by sorted key, and one more for all others. ``own`` is what they keep of their own discounted
+    counts, ``left`` what goes on to the words after or within them, each a share and by class (0 toxic, 1 ordinary)."""
 
     keys: np.ndarray
-    counts: np.ndarray
-    types: np.ndarray
-    discount: np.ndarray
+    own: np.ndarray | None = None
+    left: np.ndarray | None = None
+    pooled: np.ndarray | None = None
 
 
 @dataclass
@@ -91,28 +88,29 @@ class KneserNey:
     words: Level
     pairs: Level
     histories: Level
-    totals: np.ndarray
-    stem_types: np.ndarray
-    all_stems: int
+    spread: np.ndarray  # by class, the share of the stems' discounts
+    words_rest: np.ndarray  # by beginning, the pooled share of all its words outside the model
 
-    def ratios(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood ratio (toxic to ordinary) of each word, and the number of words of each text."""
-        words, stems, history, per_row = expressions(texts)
+    def logs(self, words: np.ndarray, stems: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each word after its history in each class.
+
+        A word outside the model stands for all such words of its beginning, a beginning outside it for all such words.
+        """
         s, w, h = find(self.stems.keys, stems), find(self.words.keys, words), find(self.histories.keys, history)
         pair = find(self.pairs.keys, pair_key(history, words))
-        stem, word, two, after = self.stems, self.words, self.pairs, self.histories
-        shared = np.minimum(*(stem.counts / self.totals[:, None]))[s] + 1 / max(self.all_stems, 1)
-        within = (word.counts.sum(0)[w] + 0.5) / (stem.counts.sum(0)[s] + 1)
+        within = np.where(w < len(self.words.keys), self.words.pooled[w], self.words_rest[s])
         logs = []
         for c in (0, 1):
-            d = stem.discount[c]
-            p = (np.maximum(stem.counts[c][s] - d, 0) + d * self.stem_types[c] * shared) / self.totals[c]
-            d = word.discount[c]
-            p *= (np.maximum(word.counts[c][w] - d, 0) + (d * stem.types[c][s] + WORD_STRENGTH) * within) / (stem.counts[c][s] + WORD_STRENGTH)
-            d = two.discount[c]
-            p = (np.maximum(two.counts[c][pair] - d, 0) + (d * after.types[c][h] + PAIR_STRENGTH) * p) / (after.counts[c][h] + PAIR_STRENGTH)
-            logs.append(np.log(np.maximum(p, 1e-300)))
-        return logs[0] - logs[1], per_row
+            p = self.stems.own[c][s] + self.spread[c] * self.stems.pooled[s]
+            p = p * (self.words.own[c][w] + self.stems.left[c][s] * within)
+            logs.append(np.log(np.maximum(self.pairs.own[c][pair] + self.histories.left[c][h] * p, 1e-300)))
+        return logs[0], logs[1]
+
+    def ratios(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio (toxic to ordinary) of each word, and the number of words of each text."""
+        words, stems, history, per_row = expressions(texts)
+        toxic, ordinary = self.logs(words, stems, history)
+        return toxic - ordinary, per_row
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -137,34 +135,74 @@ def text_features(ratio: np.ndarray, per_row: np.ndarray) -> np.ndarray:
     return np.stack([mean, best], 1)
 
 
-
-def level(table: DataFrame, key, most: int, types: bool = False) -> Level:
-    """The commonest n-grams of a count table with columns ``t, o`` (and ``tt, to``) and the key columns."""
+def discounts(table: DataFrame) -> np.ndarray:
+    """By class, n1 / (n1 + 2 n2) of a count table with columns ``t, o``; a half where nothing is counted once."""
     row = table.agg(*[F.count_if(F.col(c) == n) for c in ("t", "o") for n in (1, 2)]).first()
-    discount = [min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5 for once, twice in (row[0:2], row[2:4])]
-    kept = table.where(f"t + o >= {LEAST_COUNT}").orderBy(F.desc(F.col("t") + F.col("o")), *key).limit(most).toPandas()
-    ids = [kept[k].to_numpy(np.int64).view(np.uint64) for k in key]
+    return np.array([once / (once + 2 * twice) if once else 0.5 for once, twice in (row[0:2], row[2:4])])
+
+
+def kept_counts(table: DataFrame, discount: np.ndarray, least: int) -> DataFrame:
+    """With ``kept``, and with the discounted counts ``dt, do`` of n-grams that the model keeps, zero for others."""
+    kept = F.col("t") + F.col("o") >= least
+    less = [F.when(kept, F.greatest(F.col(c) - F.lit(float(d)), F.lit(0.0))).otherwise(0.0).alias(f"d{c}") for c, d in zip("to", discount)]
+    return table.select("*", kept.alias("kept"), *less)
+
+
+def sorted_rows(table: DataFrame, key: list[str]):
+    """The rows on the driver by key, and the keys."""
+    rows = table.toPandas()
+    ids = [rows[k].to_numpy(np.int64).view(np.uint64) for k in key]
     keys = pair_key(*ids) if len(ids) == 2 else ids[0]
     order = np.argsort(keys)
-    padded = lambda name: np.r_[kept[name].to_numpy(float)[order], 0.0]
-    return Level(keys[order], np.stack([padded("t"), padded("o")]), np.stack([padded("tt"), padded("to")]) if types else None, np.array(discount))
+    return keys[order], rows.iloc[order]
+
+
+def by_class(rows, names: list[str]) -> np.ndarray:
+    """Two columns with a zero at their ends, for keys outside the model."""
+    return np.stack([np.r_[rows[n].to_numpy(float), 0.0] for n in names])
+
+
+def shares(part: np.ndarray, whole: np.ndarray, none: float) -> np.ndarray:
+    return np.where(whole > 0, part / np.maximum(whole, 1), none)
 
 
-def fit_counts(texts: DataFrame, most_ngrams: int) -> KneserNey:
-    """Count in Spark; at most ``most_ngrams`` n-grams of each kind leave it."""
+def fit_counts(texts: DataFrame) -> KneserNey:
+    """Count in Spark; only n-grams that the model keeps leave it."""
     both = [F.sum("t").alias("t"), F.sum("o").alias("o")]
-    kinds = [F.count_if(F.col("t") > 0).alias("tt"), F.count_if(F.col("o") > 0).alias("to")]
     counted = texts.select("text", "toxic").mapInArrow(count_pairs, "history long, word long, stem long, t long, o long")
     pairs = stored(counted.groupBy("history", "word", "stem").agg(*both), "toxic-pairs")
-    words = stored(pairs.groupBy("word", "stem").agg(*both), "toxic-words")
-    stems = stored(words.groupBy("stem").agg(*both, *kinds), "toxic-stems")
-    histories = pairs.groupBy("history").agg(*both, *kinds)
-    sums = stems.agg(F.sum("t"), F.sum("o"), F.count_if(F.col("t") > 0), F.count_if(F.col("o") > 0), F.count("*")).first()
-    return KneserNey(
-        level(stems, ["stem"], most_ngrams, True), level(words, ["word"], most_ngrams), level(pairs, ["history", "word"], most_ngrams),
-        level(histories, ["history"], most_ngrams, True), np.maximum(np.array([sums[0] or 0, sums[1] or 0], float), 1),
-        np.array(sums[2:4], float), int(sums[4]),
-    )
+    follows = [F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("o") > 0).alias("o")]  # distinct histories
+    words = stored(pairs.groupBy("word", "stem").agg(*follows), "toxic-words")
+    stems = stored(words.groupBy("stem").agg(*both), "toxic-stems")
+    pairs, words, stems = [kept_counts(x, discounts(x), n) for x, n in ((pairs, LEAST_PAIRS), (words, LEAST_COUNT), (stems, LEAST_COUNT))]
+
+    below = [*both, F.sum("dt").alias("dt"), F.sum("do").alias("do"), F.count_if("kept").alias("n"), F.sum(F.when(F.col("kept"), F.col("t") + F.col("o")).otherwise(0)).alias("held")]
+    pair_keys, pair = sorted_rows(pairs.where("kept").select("history", "word", "dt", "do"), ["history", "word"])
+    history_keys, history = sorted_rows(pairs.groupBy("history").agg(*below).where("n > 0"), ["history"])
+    word_keys, word = sorted_rows(words.where("kept").select("word", "stem", "t", "o", "dt", "do"), ["word"])
+    inner = words.groupBy("stem").agg(*[x.alias(f"w_{n}") for x, n in zip(below, ("t", "o", "dt", "do", "n", "held"))])
+    stem_keys, stem = sorted_rows(stems.where("kept").join(inner, "stem"), ["stem"])
+    every = stems.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("t", "o", "dt", "do")], F.count_if("kept"), F.coalesce(F.sum(F.when(F.col("kept"), F.col("t") + F.col("o"))), F.lit(0))).first()
+
+    totals = by_class(history, ["t", "o"])
+    at = find(history_keys, pair["history"].to_numpy(np.int64).view(np.uint64))
+    pairs_of = Level(pair_keys, shares(by_class(pair, ["dt", "do"]), np.c_[totals[:, at], [0, 0]], 0.0))
+    histories_of = Level(history_keys, left=shares(totals - by_class(history, ["dt", "do"]), totals, 1.0))
+
+    totals, sizes = by_class(stem, ["w_t", "w_o"]), by_class(stem, ["w_n", "w_held"])
+    at = find(stem_keys, word["stem"].to_numpy(np.int64).view(np.uint64))
+    within = totals.sum(0) + 0.5 * (sizes[0] + 1)  # half a count for each word and for all others
+    words_of = Level(word_keys, shares(by_class(word, ["dt", "do"]), np.c_[totals[:, at], [0, 0]], 0.0),
+                     pooled=(by_class(word, ["t", "o"]).sum(0) + 0.5) / np.r_[within[at], 1.0])
+    sums = np.array(every[:4], float)
+    all_counts = sums[:2].sum() + every[4] + 1
+    pooled = (by_class(stem, ["t", "o"]).sum(0) + 1) / all_counts
+    pooled[-1] = (sums[:2].sum() - every[5] + 1) / all_counts
+    whole = np.maximum(sums[:2], 1)
+    stems_of = Level(stem_keys, by_class(stem, ["dt", "do"]) / whole[:, None],
+                     shares(totals - by_class(stem, ["w_dt", "w_do"]), totals, 1.0), pooled)
+    spread = np.where(sums[:2] > 0, (sums[:2] - sums[2:4]) / whole, 1.0)
+    return KneserNey(stems_of, words_of, pairs_of, histories_of, spread, (totals.sum(0) - sizes[1] + 0.5) / within)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, strength: float = 1e-2) -> np.ndarray:
@@ -205,7 +243,7 @@ def features_of(shared):
     return run
 
 
-def train_toxicity(documents: DataFrame, labels: DataFrame, training: Column, most_rows: int = MOST_ROWS, most_ngrams: int = MOST_NGRAMS) -> Toxicity:
+def train_toxicity(documents: DataFrame, labels: DataFrame, training: Column, most_rows: int = MOST_ROWS) -> Toxicity:
     """Fit on labelled documents where ``training`` (a condition on ``doc_id``) holds.
 
     Labels other than 0 and 1 are left out; a document labelled twice is toxic if one label says so. Every fourth
@@ -227,7 +265,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, training: Column, mo
         share = F.when((F.col("fold") == 0) & (F.col("toxic") == k), most_rows / max(counts.get((0, k), 0), 1)).otherwise(share)
     sample = F.broadcast(marks.where(F.col("u") < share).select("doc_id", "toxic", "fold"))  # four times most_rows at most, on average
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("text", "toxic", "fold")
-    model = fit_counts(texts.where("fold = 0"), most_ngrams)
+    model = fit_counts(texts.where("fold = 0"))
     shared = spark.sparkContext.broadcast(model)
     seen = texts.where("fold = 1").select("text", "toxic").mapInArrow(features_of(shared), "mean double, best double, toxic int").toPandas()
     if seen["toxic"].nunique() < 2:  # too few labels to calibrate: toxic where the likelier

@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -231,5 +232,77 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_toxicity(docs.limit(5), one).collect()} == {0.0}
 
 
+def test_toxicity_models_are_kneser_ney(spark, monkeypatch):
+    """Every probability equals a plain recursion over counted tuples, and each class and history sums to one."""
+    monkeypatch.setattr(toxicity, "LEAST_COUNT", 3)
+    monkeypatch.setattr(toxicity, "LEAST_PAIRS", 4)
+    rng, vocabulary = random.Random(8), ["abcd", "abcde", "abcdf", "xy", "xyz", "pqrst", "pqrsu", "lone", "\u00e9t\u00e9s", "\u00e9t\u00e9si"]
+    texts = [(" ".join(rng.choices(vocabulary, weights=range(1, 11), k=rng.randrange(9))), int(rng.random() < 0.4)) for _ in range(60)]
+    texts += [("onlytoxic here", 1), ("onlyplain here", 0), ("", 1)]
+    model = toxicity.fit_counts(spark.createDataFrame(texts, "text string, toxic int"))
+
+    pairs = Counter()
+    for text, toxic in texts:
+        words = text.split()
+        pairs.update((1 - toxic, h, w) for h, w in zip([None, *words], words))  # class 0 is the toxic one
+    words, stems, firsts = Counter(), Counter(), Counter()
+    for (c, h, w), n in pairs.items():
+        words[c, w] += 1
+        stems[c, w[:4]] += 1
+        firsts[c, h] += n
+
+    def discount(counts, c):
+        held = Counter(n for key, n in counts.items() if key[0] == c)
+        return held[1] / (held[1] + 2 * held[2]) if held[1] else 0.5
+
+    def both(counts, *key):
+        return counts[0, *key] + counts[1, *key]
+
+    def own(counts, least, c, *key):
+        return max(counts[c, *key] - discount(counts, c), 0) if both(counts, *key) >= least else 0
+
+    all_words, all_stems = {w for _, w in words}, {s for _, s in stems}
+    kept_words, kept_stems = {w for w in all_words if both(words, w) >= 3}, {s for s in all_stems if both(stems, s) >= 3}
+    everything = sum(stems.values())
+
+    def probability(c, h, w):
+        s = w[:4]
+        total = sum(n for (k, _), n in stems.items() if k == c)
+        mass = both(stems, s) if s in kept_stems else everything - sum(both(stems, x) for x in kept_stems)
+        p = (own(stems, 3, c, s) + (total - sum(own(stems, 3, c, x) for x in kept_stems)) * (mass + 1) / (everything + len(kept_stems) + 1)) / total
+        if s in kept_stems:
+            inner = [x for x in kept_words if x[:4] == s]
+            mass = both(words, w) if w in kept_words else both(stems, s) - sum(both(words, x) for x in inner)
+            share = (mass + 0.5) / (both(stems, s) + 0.5 * (len(inner) + 1))
+            n = stems[c, s]
+            p *= (own(words, 3, c, w) + (n - sum(own(words, 3, c, x) for x in inner)) * share) / n if n else share
+        n = firsts[c, h]
+        return (own(pairs, 4, c, h, w) + (n - sum(own(pairs, 4, c, h, x) for x in all_words)) * p) / n if n else p
+
+    def scored(text):
+        found, starts, history, _ = toxicity.expressions(pa.array([text]))
+        return np.exp(model.logs(found, starts, history))
+
+    for text in {t for t, _ in texts if t} | {"lone never abcdnever xy"}:
+        tokens = text.split()
+        want = [[probability(c, h, w) for h, w in zip([None, *tokens], tokens)] for c in (0, 1)]
+        assert np.allclose(scored(text), want, rtol=1e-9)
+    slots = sorted(kept_words) + [s.ljust(4, "~") + "~never" if len(s) == 4 else None for s in sorted(kept_stems)] + ["never"]
+    for h in [*sorted(all_words), "never"]:
+        for c in (0, 1):
+            # a beginning shorter than STEM is one word, whose other words cannot occur; their share is counted by hand
+            total = sum(scored(f"{h} {w}")[c][1] for w in slots if w)
+            total += sum(own(pairs, 4, c, h, x) / firsts[c, h] for x in all_words - kept_words if firsts[c, h])
+            short = [s for s in kept_stems if len(s) < 4]
+            left = (firsts[c, h] - sum(own(pairs, 4, c, h, x) for x in all_words)) / firsts[c, h] if firsts[c, h] else 1
+            for s in short:
+                top = scored(f"never {s}")[c][1]
+                n, mass = stems[c, s], both(stems, s)
+                rest = 0.5 / (mass + 1)
+                inside = (own(words, 3, c, s) + (n - own(words, 3, c, s)) * (mass + 0.5) / (mass + 1)) / n if n else (mass + 0.5) / (mass + 1)
+                total += left * top / inside * ((n - own(words, 3, c, s)) * rest / n if n else rest)
+            assert abs(total - 1) < 1e-9
+
+
 def test_tokenizer_files_are_a_parameter():
     assert os.path.exists(BPE) and os.path.exists(PIECES)
