@@ -22,12 +22,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartouche.llm.graph import stored
-from cartouche.llm.words import slices, text_buffers, word_hashes
+from cartouche.llm.words import give_back, slices, text_buffers, word_hashes
 
 CAPACITY = 1024
 END_ID = 2
 ROWS_PER_CELL = 20_000
 MOST_CACHED = 1 << 20
+SEGMENTS_AT_ONCE = 1 << 13
 SEGMENT_LEAD = np.zeros(256, bool)
 SEGMENT_LEAD[0x21:0x7F] = True
 SEGMENT_LEAD[0xC3:0xE0] = True  # lead bytes of U+00C0 to U+07FF, none of which is a space
@@ -179,11 +180,15 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, keys: np.ndarray, segments: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
-        lists = [e.ids for e in found]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        parts, size = [self.ids], []
+        for first in range(0, len(segments), SEGMENTS_AT_ONCE):  # encodings hold about a kilobyte each
+            found = self.tokenizer.encode_batch_fast([s.decode() for s in segments[first:first + SEGMENTS_AT_ONCE]], add_special_tokens=False)
+            lists = [e.ids for e in found]
+            size += map(len, lists)
+            parts.append(np.array([i for x in lists for i in x], np.uint32))
+        size = np.array(size, np.int64)
         at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.array([i for x in lists for i in x], np.uint32)])
+        self.ids = np.concatenate(parts)
         # both runs are sorted: each new key goes where it belongs
         place = np.searchsorted(self.keys, keys)
         self.keys, self.at, self.size = np.insert(self.keys, place, keys), np.insert(self.at, place, at), np.insert(self.size, place, size)
@@ -234,6 +239,7 @@ def cut_pieces(tokenizer: str, capacity: int, with_ids: bool):
                 pa.array(length, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()),
                 pa.array([bytes(p) for p in parts], pa.binary()) if with_ids else pa.nulls(len(parts), pa.binary()),
             ], names=["doc_id", "row", "piece", "start", "length", "ids_crc32", "ids"])
+        give_back()
 
     return run
 
