@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from cartouche.llm.katz import remainder
 from cartouche.llm.packing import pack_documents
 from cartouche.llm.personal import mask_personal
-from cartouche.llm.queries import TOKENIZERS
 from cartouche.llm.shipping import ship
 from cartouche.llm.signature_tree import jaccard_classes
 from cartouche.llm.substrings import remove_repeats
@@ -65,7 +64,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece's place in sequences of at most 1024 tokens."""
     ship(spark)
-    return pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return pack_documents(docs, "byte_bpe_50k.json")
 
 
 STAGES: list[tuple[str, Stage]] = [
