@@ -2,8 +2,9 @@
 
 Every training word is in the vocabulary, and every bigram counts, at any corpus size. The texts are read once, into slices:
 a slice holds its distinct words by 64-bit hash and its tokens as places in that list. Slices deal their words to buckets,
-which answer each slice with the counts of its words; then they deal their distinct bigrams to the bucket of the history,
-which answers with the bigrams' counts and each history's sums. A common history is spread over all buckets and its sums
+which number their words, common ones first, and answer each slice with the counts and numbers of its words; then slices deal
+their distinct bigrams, as sorted numbers, to the bucket of the history, which answers with the bigrams' counts and each
+history's sums. A common history is spread over all buckets and its sums
 are added up. A slice then has all it needs to score its texts. Words that no training text holds are one class. The driver
 keeps counts of counts, totals and the sums of common histories (fewer than ``HEAVY_SHARE``), so nothing on it or broadcast
 grows with the vocabulary.
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +28,11 @@ from cartouche.sources.scratch import fresh_path
 
 LARGEST_DISCOUNTED = 5
 HEAVY_SHARE = 1000
-WORD_SHIFT = np.uint64(16)  # a bigram's word has 48 bits, under its history's 64
 END = np.uint64(0x45D9F3B3335B369)  # stands for the end of a text, and as a history for its beginning
-UNKNOWN = np.uint64(0x1D8E4E27C47D124F)  # stands for the words outside the vocabulary
+UNKNOWN = np.uint64(1 << 62)  # the number of the class of words outside the vocabulary, above every word's own
 SLICE = 4 << 20
 
-ANSWER, COUNTED, HEAVY = 0, 1, 2
+WORDS, BIGRAMS, COUNTED, HEAVY = 0, 1, 2, 3
 REPLY = "kind int, slice long, bucket int, counts binary, more binary"
 REPLY_ARROW = pa.schema([("kind", pa.int32()), ("slice", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("more", pa.binary())])
 
@@ -140,12 +141,14 @@ def counted(totals: np.ndarray, most: int | None = None) -> tuple:
 
 
 def total_words(table: pa.Table) -> pa.Table:
-    """The counts of a bucket's words over all slices, for each slice its own, in the order that it sent."""
+    """The counts of a bucket's words over all slices and their ranks by count, for each slice its own, in the order that it sent."""
     sent = [expand(x.as_buffer(), np.uint64) for x in table["words"]]
     words, at = np.unique(np.concatenate(sent), return_inverse=True)
     totals = np.bincount(at, gather(table["counts"], np.int64), len(words)).astype(np.int64)
+    ranks = np.empty(len(words), np.int64)
+    ranks[np.argsort(-totals, kind="stable")] = np.arange(len(words))
     ends = np.cumsum([len(x) for x in sent])
-    out = [(ANSWER, s, b, squeeze(totals[at[e - len(x):e]]), None) for s, b, x, e in zip(
+    out = [(WORDS, s, b, squeeze(totals[at[e - len(x):e]]), squeeze(ranks[at[e - len(x):e]])) for s, b, x, e in zip(
         table["slice"].to_pylist(), table["bucket"].to_pylist(), sent, ends)]
     return pa.Table.from_batches([batch_of([*out, counted(totals)], REPLY_ARROW)])
 
@@ -206,7 +209,7 @@ def law_of_words(of_count: dict[int, int], ends: int, most_words: int | None) ->
 
 @dataclass
 class Bigrams:
-    """The distinct bigrams of a slice, by bucket and history; ``at`` is the bigram of each token."""
+    """The distinct bigrams of a slice, by bucket and numbers of history and word; ``at`` is the bigram of each token."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -226,10 +229,15 @@ def bigrams(law: Words, corpus: pa.Table, answers: pa.Table, buckets: int) -> Bi
     """Of one slice, the same whenever it is called."""
     words, tokens = expand(corpus["words"][0].as_buffer(), np.uint64), expand(corpus["tokens"][0].as_buffer(), np.int32)
     meta = expand(corpus["meta"][0].as_buffer(), np.int64).view(META)
-    order, _ = by_bucket(word_bucket(words, buckets))
-    counts = np.empty(len(words), np.int64)
-    counts[order] = gather(answers.sort_by("bucket")["counts"], np.int64)
-    n = len(words)
+    answers, bucket, n = answers.sort_by("bucket"), word_bucket(words, buckets), len(words)
+    order, _ = by_bucket(bucket)
+    counts, ranks = np.empty(n, np.int64), np.empty(n, np.int64)
+    counts[order], ranks[order] = gather(answers["counts"], np.int64), gather(answers["more"], np.int64)
+    number = (ranks * buckets + bucket).astype(np.uint64)
+    order = np.argsort(number)
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    words, counts, number, tokens = words[order], counts[order], np.r_[number[order], UNKNOWN], place[tokens]
     ids = np.where(law.known(words, counts), np.arange(n), n)[tokens]
     starts = np.cumsum(meta["n_tokens"]) - meta["n_tokens"]
     history = np.empty_like(ids)
@@ -238,15 +246,14 @@ def bigrams(law: Words, corpus: pa.Table, answers: pa.Table, buckets: int) -> Bi
     pairs, at = np.unique(history * (n + 1) + ids, return_inverse=True)
     training = np.bincount(at[np.repeat(meta["training"] == 1, meta["n_tokens"])], minlength=len(pairs)).astype(np.int64)
     h, w = np.divmod(pairs, n + 1)
-    keys = np.r_[words, UNKNOWN]
     heavy = (np.r_[counts, law.rest_total] * HEAVY_SHARE > law.total)[h]
     # all bigrams of a history in one bucket, but those of a common history anywhere
-    bucket = bucket_of(np.where(heavy, mix(keys[h]) ^ second(keys[w]), keys[h]), buckets)
+    bucket = bucket_of(np.where(heavy, mix(number[h]) ^ second(number[w]), number[h]), buckets)
     order, cuts = by_bucket(bucket)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    return Bigrams(words, counts, tokens, place[at], training[order], bucket[order], cuts, keys[h[order]], heavy[order],
-                   keys[w[order]] >> WORD_SHIFT, np.r_[counts, -1][w[order]], meta)
+    return Bigrams(words, counts, tokens, place[at], training[order], bucket[order], cuts, number[h[order]], heavy[order],
+                   number[w[order]], np.r_[counts, -1][w[order]], meta)
 
 
 DEALT = "bucket int, slice long, histories binary, heavy binary, runs binary, words binary, word_counts binary, counts binary"
@@ -260,7 +267,7 @@ def deal_bigrams(law: Words, buckets: int):
         for a, b in zip(x.cuts[:-1], x.cuts[1:]):
             starts = groups_of(x.history[a:b])
             out.append((
-                int(x.bucket[a]), corpus["slice"][0].as_py(), squeeze(x.history[a:b][starts]), squeeze(x.heavy[a:b][starts].astype(np.uint8)),
+                int(x.bucket[a]), corpus["slice"][0].as_py(), squeeze(np.diff(x.history[a:b][starts], prepend=np.uint64(0))), squeeze(x.heavy[a:b][starts].astype(np.uint8)),
                 squeeze(np.diff(np.r_[starts, b - a])), squeeze(x.word[a:b]), squeeze(x.word_count[a:b]), squeeze(x.training[a:b])))
         return pa.Table.from_batches([batch_of(out, DEALT_ARROW)])
 
@@ -275,7 +282,7 @@ def total_bigrams(law: Words):
     """Counts of a bucket's bigrams and sums of their histories, for each slice its own, in the order that it sent."""
 
     def run(table: pa.Table) -> pa.Table:
-        sent = [expand(x.as_buffer(), np.uint64) for x in table["histories"]]
+        sent = [np.cumsum(expand(x.as_buffer(), np.uint64), dtype=np.uint64) for x in table["histories"]]
         sent_words = [expand(x.as_buffer(), np.uint64) for x in table["words"]]
         every = np.concatenate(sent)
         history, word = np.repeat(every, gather(table["runs"], np.int64)), np.concatenate(sent_words)
@@ -293,7 +300,7 @@ def total_bigrams(law: Words):
             totals, *[(totals == r).astype(np.int64) for r in range(1, LARGEST_DISCOUNTED + 1)], lower)])
         out, a = [], 0
         for s, b, h, w in zip(table["slice"].to_pylist(), table["bucket"].to_pylist(), sent, sent_words):
-            out.append((ANSWER, s, b, squeeze(mine[a:a + len(w)]), squeeze(sums[:, np.searchsorted(history, h)].ravel())))
+            out.append((BIGRAMS, s, b, squeeze(mine[a:a + len(w)]), squeeze(sums[:, np.searchsorted(history, h)].ravel())))
             a += len(w)
         common = np.unique(every[gather(table["heavy"], np.uint8) == 1])
         out.append((HEAVY, None, None, squeeze(common.view(np.int64)), squeeze(sums[:, np.searchsorted(history, common)].ravel())))
@@ -340,9 +347,8 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def score_slice(law: Words, d: np.ndarray, heavy: tuple[np.ndarray, np.ndarray], buckets: int):
     def run(corpus: pa.Table, replies: pa.Table) -> pa.Table:
-        of_bigrams = replies["more"].is_valid()
-        x = bigrams(law, corpus, replies.filter(replies["more"].is_null()), buckets)
-        answers = replies.filter(of_bigrams).sort_by("bucket")
+        x = bigrams(law, corpus, replies.filter(pc.equal(replies["kind"], WORDS)), buckets)
+        answers = replies.filter(pc.equal(replies["kind"], BIGRAMS)).sort_by("bucket")
         count = gather(answers["counts"], np.int64)
         sums = np.concatenate([expand(v.as_buffer(), np.float64).reshape(SUMS, -1) for v in answers["more"]], 1)
         starts = np.flatnonzero(np.r_[True, (x.history[1:] != x.history[:-1]) | (x.bucket[1:] != x.bucket[:-1])])
@@ -389,11 +395,11 @@ def katz_scores(documents: DataFrame, training: Column, held_out: Column, most_w
     words = stored_by_kind(dealt.groupBy("bucket").applyInArrow(total_words, REPLY), "words")
     ends = corpus.agg(F.sum("trained")).first()[0] or 0
     law = law_of_words(count_of_counts(words), ends, most_words)
-    answers = words.where(F.col("kind") == ANSWER).drop("kind")
+    answers = words.where(F.col("kind") == WORDS)
     texts = corpus.select("slice", "meta", "tokens", "words")
     pairs = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(deal_bigrams(law, buckets), DEALT)
     pairs = stored_by_kind(pairs.groupBy("bucket").applyInArrow(total_bigrams(law), REPLY), "bigrams")
-    answers = answers.union(pairs.where(F.col("kind") == ANSWER).drop("kind"))
+    answers = answers.union(pairs.where(F.col("kind") == BIGRAMS))
     score = score_slice(law, discounts(count_of_counts(pairs)), heavy_sums(pairs), buckets)
     scored = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, RESULT)
     return scored.withColumn("doc_id", F.expr(f"nullif(doc_id, {NO_ID})"))
