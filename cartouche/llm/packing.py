@@ -13,6 +13,7 @@ import os
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +30,7 @@ END_ID = 2
 ROWS_PER_CELL = 20_000
 MOST_CACHED = 1 << 20
 SEGMENTS_AT_ONCE = 1 << 13
+SEGMENTS_JOINED = 64
 SEGMENT_LEAD = np.zeros(256, bool)
 SEGMENT_LEAD[0x21:0x7F] = True
 SEGMENT_LEAD[0xC3:0xE0] = True  # lead bytes of U+00C0 to U+07FF, none of which is a space
@@ -173,21 +175,45 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path if os.path.isabs(path) else public_tokenizers.path(path))
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # bytes of each id: one character stands for one byte
+        self.width[list(vocabulary.values())] = [len(x) for x in vocabulary]
         self.forget()
 
     def forget(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def ids_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of ids of each text."""
+        found = self.tokenizer.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)
+        lists = [e.ids for e in found]
+        return np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def ids_of_segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``ids_of``, for segments that may follow one another in a text.
+
+        No token spans two segments, so some are encoded as one text, and the bytes of the ids tell where each begins.
+        Where the bytes do not add up (a tokenizer that writes its tokens otherwise), each is encoded by itself.
+        """
+        blocks = [b"".join(segments[i:i + SEGMENTS_JOINED]) for i in range(0, len(segments), SEGMENTS_JOINED)]
+        ids, _ = self.ids_of(blocks)
+        ends, cuts = np.cumsum(self.width[ids]), np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)))
+        upto = np.searchsorted(ends, cuts)
+        if len(ids) and np.array_equal(ends[np.minimum(upto, len(ends) - 1)], cuts) and ends[-1] == cuts[-1]:
+            return ids, np.diff(upto + 1, prepend=0)
+        return self.ids_of(segments)
+
     def learn(self, keys: np.ndarray, segments: list[bytes]) -> None:
-        parts, size = [self.ids], []
-        for first in range(0, len(segments), SEGMENTS_AT_ONCE):  # encodings hold about a kilobyte each
-            found = self.tokenizer.encode_batch_fast([s.decode() for s in segments[first:first + SEGMENTS_AT_ONCE]], add_special_tokens=False)
-            lists = [e.ids for e in found]
-            size += map(len, lists)
-            parts.append(np.array([i for x in lists for i in x], np.uint32))
-        size = np.array(size, np.int64)
-        at = len(self.ids) + np.cumsum(size) - size
+        joinable = np.array([len(x) > 1 and x[0] == 0x20 and SEGMENT_LEAD[x[1]] for x in segments], bool)
+        parts, size, at, used = [self.ids], np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), len(self.ids)
+        for chosen, encode in ((np.flatnonzero(joinable), self.ids_of_segments), (np.flatnonzero(~joinable), self.ids_of)):
+            for first in range(0, len(chosen), SEGMENTS_AT_ONCE):  # bounds the encodings held at once
+                block = chosen[first:first + SEGMENTS_AT_ONCE]
+                ids, size[block] = encode([segments[i] for i in block])
+                at[block] = used + np.cumsum(size[block]) - size[block]
+                used += len(ids)
+                parts.append(ids)
         self.ids = np.concatenate(parts)
         # both runs are sorted: each new key goes where it belongs
         place = np.searchsorted(self.keys, keys)

@@ -166,6 +166,17 @@ def test_segments_do_not_change_ids():
             assert ids[cut[i]:cut[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_joined_segments_are_cut_by_their_bytes():
+    encoder, rng = packing.Encoder(BPE), random.Random(2)
+    segments = [" " + "".join(rng.choice(["a", "é", "'s", "1", "日", "x", "-", "\n", "  "]) for _ in range(rng.randrange(1, 9))) for _ in range(500)]
+    segments = [x.encode() for x in segments if packing.SEGMENT_LEAD[x.encode()[1]]]
+    ids, counts = encoder.ids_of(segments)
+    for broken in (False, True):  # widths that do not add up: each segment by itself
+        encoder.width += broken
+        mine, mine_counts = encoder.ids_of_segments(segments)
+        assert mine.tolist() == ids.tolist() and mine_counts.tolist() == counts.tolist()
+
+
 def test_pieces_are_the_librarys(spark, sf_dir):
     import sentencepiece
 
