@@ -6,10 +6,12 @@
 2. Equal sets are one class; only its smallest id goes on.
 3. Sets whose similarity reaches the threshold share a shingle among the first ``n - ceil(threshold * n) + 1`` in any fixed
    order (unshared first, then rare, then common shingles, by hash). Classes are gathered into leaves by their first
-   shared shingle, at most about ``LEAF_ROWS`` to a leaf, and leaves that share a prefix shingle become leaf pairs. The
+   shared shingle and their size, at most about ``LEAF_ROWS`` to a leaf, and leaves that share a prefix shingle become leaf pairs. The
    leaves of a shingle are cut into blocks of about ``BLOCK_LEAVES``, and every two blocks are a cell of their own, so that
    no task holds all leaves of a shingle or all pairs of them.
-4. Each leaf pair is joined by a dual traversal of two signature trees: a node has the OR of its token bitmaps and its
+4. Leaf pairs are gathered into cells of two blocks of leaves (``pair_cells``), so that leaves which all meet, as those of
+   near copies do, are not sent once a pair.
+   Each leaf pair is joined by a dual traversal of two signature trees: a node has the OR of its token bitmaps and its
    range of set sizes, and a node pair is dropped when its largest possible overlap misses the threshold. Surviving
    pairs of end nodes are counted exactly by a product of their incidence matrices.
 """
@@ -23,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartouche.llm.exchange import NO_ID, bucket_count, bucket_of, groups_of, joined, pack, unpack
-from cartouche.llm.graph import components, forest, stored
+from cartouche.llm.exchange import NO_ID, bucket_count, bucket_of, groups_of, joined
+from cartouche.llm.graph import components, forest, released
 from cartouche.llm.words import hashed_words, shingle_sets, slices
 
 WORDS = 5
@@ -33,14 +35,16 @@ LEAF_ROWS = 256
 LEAF_TOKENS = 1 << 18
 BLOCK_LEAVES = 128
 MOST_PAIRS = 1 << 20
+CELL_LEAVES = 32
+CELL_BYTES = 16 << 20
 HEAVY_SHARE = 1000
 HEAVY_LEAST = 256
 BITS = 2048
 FANOUT = 16
 
-DEALT = "bucket int, known boolean, docs binary, counts binary, hashes binary, ids binary, sizes binary, digests binary"
+DEALT = "bucket int, known boolean, source int, docs binary, hashes binary, ids binary, sizes binary, digests binary"
 DEALT_ARROW = pa.schema([
-    ("bucket", pa.int32()), ("known", pa.bool_()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary()),
+    ("bucket", pa.int32()), ("known", pa.bool_()), ("source", pa.int32()), ("docs", pa.binary()), ("hashes", pa.binary()),
     ("ids", pa.binary()), ("sizes", pa.binary()), ("digests", pa.binary()),
 ])
 
@@ -59,25 +63,43 @@ def token_of(hashes: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     return (bucket.astype(np.uint64) << TOKEN_BITS) | (hashes >> (np.uint64(64) - TOKEN_BITS))
 
 
-def short(batches):
-    """Packed rows whose hashes leave out the bucket, which the row has."""
-    for batch in batches:
-        hashes = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes() for x in batch.column(4)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(hashes, pa.binary())], schema=batch.schema)
-
-
-def unpack_short(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    docs = np.repeat(joined(table["docs"], np.int64), joined(table["counts"], np.int32))
-    hashes = np.zeros((len(docs), 8), np.uint8)
-    hashes[:, :TOKEN_BYTES] = joined(table["hashes"], np.uint8).reshape(-1, TOKEN_BYTES)
-    bucket = np.uint64(table["bucket"][0].as_py()) if table.num_rows else np.uint64(0)
-    return docs, hashes.view(np.uint64).ravel() | (bucket << TOKEN_BITS)
+def dealt(bucket: np.ndarray, docs: np.ndarray, tokens: np.ndarray, known: bool, source: np.ndarray | int | None) -> pa.RecordBatch:
+    """Rows of DEALT, one per bucket: each entry's document as the step from the one before, compressed, and its token.
 
-
-def with_empty(batches, schema: pa.Schema):
-    for batch in batches:
-        rest = [pa.nulls(batch.num_rows, f.type) for f in schema][batch.num_columns:]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *rest], schema=schema)
+    ``docs`` ascend, so most steps are small. ``source`` is the bucket that the tokens of a row begin with; they leave it out.
+    """
+    order = np.argsort(bucket, kind="stable")
+    bucket, docs, tokens = bucket[order], docs[order].astype(np.int64), tokens[order]
+    starts = groups_of(bucket)
+    cuts = np.r_[starts, len(bucket)].tolist()
+    steps = np.diff(docs, prepend=0)
+    steps[starts] = docs[starts]
+    steps, raw = steps.view(np.uint8).reshape(-1, 8), tokens.view(np.uint8).reshape(-1, 8)[:, :8 if source is None else TOKEN_BYTES]
+    spans = list(zip(cuts, cuts[1:]))
+    rest = [pa.nulls(len(spans), f.type) for f in DEALT_ARROW][5:]
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[starts], pa.int32()),
+        pa.array(np.full(len(spans), known)),
+        pa.nulls(len(spans), pa.int32()) if source is None else pa.array(np.broadcast_to(source, bucket.shape)[order][starts], pa.int32()),
+        pa.array([pa.compress(steps[a:b].T.tobytes(), "zstd", asbytes=True) for a, b in spans], pa.binary()),
+        pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()),
+        *rest,
+    ], schema=DEALT_ARROW)
+
+
+def entries_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Document and token of each entry."""
+    docs, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for source, steps, raw in zip(table["source"].to_pylist(), table["docs"], table["hashes"]):
+        if not raw.is_valid:
+            continue
+        raw = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 8 if source is None else TOKEN_BYTES)
+        whole = np.zeros((len(raw), 8), np.uint8)
+        whole[:, :raw.shape[1]] = raw
+        tokens.append(whole.view(np.uint64).ravel() | (np.uint64(source or 0) << TOKEN_BITS))
+        planes = np.frombuffer(pa.decompress(steps.as_buffer(), 8 * len(raw), "zstd"), np.uint8).reshape(8, -1)
+        docs.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel()))
+    return np.concatenate(docs), np.concatenate(tokens)
 
 
 def hash_shingles(length: int, buckets: int):
@@ -96,9 +118,9 @@ def hash_shingles(length: int, buckets: int):
             many = np.diff(np.r_[starts, len(order)])
             single = np.sort(order[starts])
             # the first row stands for the slice; it is known to be shared if the slice has another
-            yield from with_empty(short(pack(bucket[single], row[single], one[single], False)), DEALT_ARROW)
+            yield dealt(bucket[single], row[single], one[single], False, bucket[single])
             shared = np.sort(order[np.repeat(many > 1, many)])
-            yield from with_empty(pack(bucket_of(row[shared], buckets), row[shared], one[shared], True), DEALT_ARROW)
+            yield dealt(bucket_of(row[shared], buckets), row[shared], one[shared], True, None)
             cuts = np.cumsum(sizes) - sizes
             digests = [hashlib.blake2b(one[c:c + n].tobytes() + np.sort(two[c:c + n]).tobytes(), digest_size=16).digest() for c, n in zip(cuts, sizes)]
             at = bucket_of(rows, buckets)
@@ -106,7 +128,7 @@ def hash_shingles(length: int, buckets: int):
             table = []
             for b in np.unique(at):
                 some = np.flatnonzero(at == b)
-                table.append((int(b), True, b"", b"", b"", rows[some].tobytes() + ids[some].tobytes(), sizes[some].tobytes(), b"".join(digests[i] for i in some)))
+                table.append((int(b), True, None, None, None, rows[some].tobytes() + ids[some].tobytes(), sizes[some].tobytes(), b"".join(digests[i] for i in some)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*table), DEALT_ARROW)], schema=DEALT_ARROW)
 
     return run
@@ -117,17 +139,19 @@ def mark_shared(buckets: int):
 
     def run(table: pa.Table) -> pa.Table:
         known = np.asarray(table["known"])
-        rows, hashes = unpack_short(table.filter(pa.array(~known)))
+        rows, hashes = entries_of(table.filter(pa.array(~known)))
         order = np.argsort(hashes, kind="stable")
         starts = groups_of(hashes[order])
         many = np.diff(np.r_[starts, len(order)])
-        shared = np.sort(order[np.repeat(many > 1, many)])
-        out = list(with_empty(pack(bucket_of(rows[shared], buckets), rows[shared], hashes[shared], True), DEALT_ARROW))
-        return pa.concat_tables([table.filter(pa.array(known)), pa.Table.from_batches(out, table.schema)])
+        shared = order[np.repeat(many > 1, many)]
+        shared = shared[np.argsort(rows[shared], kind="stable")]
+        out = dealt(bucket_of(rows[shared], buckets), rows[shared], hashes[shared], True, table["bucket"][0].as_py())
+        return pa.concat_tables([table.filter(pa.array(known)), pa.Table.from_batches([out]).cast(table.schema)])
 
     return run
 
 
+LEAF = ["ids", "sizes", "copies", "lengths", "tokens"]
 SET_ROW = "row long, doc_id long, n_shingles long, digest binary, tokens binary"
 
 
@@ -141,7 +165,7 @@ def gather_sets(percent: int):
         meta = table.filter(table["ids"].is_valid()) if table.num_rows else table
         sizes = joined(meta["sizes"], np.int64)
         raw = b"".join(x.as_buffer() for x in meta["digests"])
-        entry_rows, hashes = unpack(table)
+        entry_rows, hashes = entries_of(table)
         order = np.lexsort((hashes, entry_rows))
         entry_rows, hashes = entry_rows[order], hashes[order]
         fresh = np.r_[True, (entry_rows[1:] != entry_rows[:-1]) | (hashes[1:] != hashes[:-1])][:len(hashes)]
@@ -212,7 +236,9 @@ def pack_leaf(table: pa.Table) -> pa.Table:
         "sizes": pa.array([np.asarray(table["n_shingles"]).tobytes()], pa.binary()),
         "copies": pa.array([np.asarray(table["copies"]).tobytes()], pa.binary()),
         "lengths": pa.array([np.array([b.size // 8 for b in blobs], np.int64).tobytes()], pa.binary()),
-        "tokens": pa.array([b"".join(blobs)], pa.binary()),
+        # near copies hold nearly the same tokens in the same order
+        "tokens": pa.array([pa.compress(b"".join(blobs), "zstd", asbytes=True)], pa.binary()),
+        "bytes": pa.array([sum(b.size for b in blobs)], pa.int64()),
     })
 
 
@@ -368,33 +394,78 @@ def prune_pairs(percent: int):
 
 
 def tree_of(ids, sizes, copies, lengths, tokens) -> SignatureTree:
-    return SignatureTree(*(np.frombuffer(x.as_buffer(), np.int64) for x in (ids, sizes, copies, lengths)), np.frombuffer(tokens.as_buffer(), np.uint64))
+    ids, sizes, copies, lengths = (np.frombuffer(x.as_buffer(), np.int64) for x in (ids, sizes, copies, lengths))
+    return SignatureTree(ids, sizes, copies, lengths, np.frombuffer(pa.decompress(tokens.as_buffer(), 8 * int(lengths.sum()), "zstd"), np.uint64))
 
 
-def join_leaves(percent: int):
-    """Links of leaf pairs: a star per linked group, and the number of linked documents of each class."""
+FOUND = "a long, b long, n long"
+FOUND_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+
+def links_of(pairs, percent: int) -> pa.RecordBatch:
+    """Links of pairs of trees: a star per linked group, and the number of linked documents of each class."""
+    ends, counts = [np.zeros((2, 0), np.int64)], [np.zeros((2, 0), np.int64)]
+    for a, b in pairs:
+        i, j = a.join(b, percent)
+        if len(i):
+            ends.append(np.stack(forest(a.ids[i], b.ids[j])))
+            n = np.r_[np.bincount(i, b.copies[j], len(a.ids)), np.bincount(j, a.copies[i], len(b.ids))].astype(np.int64)
+            counts.append(np.stack([np.r_[a.ids, b.ids], n])[:, n > 0])
+    node, root = forest(*np.concatenate(ends, 1))
+    who, n = np.concatenate(counts, 1)
+    who, at = np.unique(who, return_inverse=True)
+    total = np.zeros(len(who), np.int64)
+    np.add.at(total, at, n)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.r_[node, who]), pa.array(np.r_[root, who]), pa.array(np.r_[np.zeros(len(node), np.int64), total]),
+    ], schema=FOUND_ARROW)
+
+
+def join_within(percent: int):
+    """Links inside leaves."""
 
     def run(batches):
         for batch in batches:
-            c = batch.columns
             for k in range(batch.num_rows):
-                a = tree_of(*(c[m][k] for m in range(5)))
-                b = a if len(c) == 5 else tree_of(*(c[m][k] for m in range(5, 10)))
-                i, j = a.join(b, percent)
-                if not len(i):
-                    continue
-                node, root = forest(a.ids[i], b.ids[j])
-                links = np.r_[np.bincount(i, b.copies[j], len(a.ids)), np.bincount(j, a.copies[i], len(b.ids))].astype(np.int64)
-                who = np.r_[a.ids, b.ids]
-                some = links > 0
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.r_[node, who[some]], pa.int64()), pa.array(np.r_[root, who[some]], pa.int64()),
-                    pa.array(np.r_[np.zeros(len(node), np.int64), links[some]], pa.int64()),
-                ], names=["a", "b", "n"])
+                a = tree_of(*(c[k] for c in batch.columns))
+                yield links_of([(a, a)], percent)
 
     return run
 
 
+def join_cell(percent: int):
+    """Links of the leaf pairs of a cell."""
+
+    def run(table: pa.Table) -> pa.Table:
+        trees = {leaf: tree_of(*(table[name][k] for name in LEAF)) for k, leaf in enumerate(table["leaf"].to_pylist())}
+        pairs = ((trees[leaf], trees[other]) for leaf, others in zip(table["leaf"].to_pylist(), table["others"].to_pylist()) for other in others)
+        return pa.Table.from_batches([links_of(pairs, percent)])
+
+    return run
+
+
+def pair_cells(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``cell_a, cell_b, leaf, others``: the leaves of each cell once, each with those that it is paired with there.
+
+    Leaves around the same most paired one, as those of a group of near copies are, are cut into blocks, and two blocks
+    are a cell: a leaf is sent once for each block that it meets, not once for each leaf. ``sizes`` has ``leaf, bytes``.
+    """
+    both = pairs.select(F.col("a").alias("leaf"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    paired = both.groupBy("leaf").agg(F.count("*").alias("n"))
+    around = both.union(paired.select("leaf", "leaf")).join(paired.withColumnRenamed("leaf", "other"), "other")
+    around = around.groupBy("leaf").agg(F.max(F.struct("n", "other"))["other"].alias("centre")).join(sizes, "leaf")
+    chunks = around.groupBy("centre").agg(
+        F.greatest(F.ceil(F.count("*") / CELL_LEAVES), F.ceil(F.sum("bytes") / CELL_BYTES)).alias("chunks"))
+    block = released(around.join(chunks, "centre").select(
+        "leaf", F.xxhash64("centre", F.pmod(F.xxhash64("leaf"), "chunks")).alias("block")), "leaf-blocks")
+    block_of = lambda side: block.select(F.col("leaf").alias(side), F.col("block").alias(f"{side}_block"))
+    placed = pairs.join(block_of("a"), "a").join(block_of("b"), "b").select(
+        F.least("a_block", "b_block").alias("cell_a"), F.greatest("a_block", "b_block").alias("cell_b"), "a", "b")
+    sent = placed.select("cell_a", "cell_b", F.col("a").alias("leaf"), F.col("b").alias("other")).union(
+        placed.select("cell_a", "cell_b", "b", F.lit(None).cast("long")))
+    return sent.groupBy("cell_a", "cell_b", "leaf").agg(F.collect_list("other").alias("others"))
+
+
 def distinct_pairs(held: list[np.ndarray]) -> pa.RecordBatch:
     pairs = np.concatenate(held, 1)
     a, b = pairs[:, np.lexsort(pairs[::-1])]
@@ -456,14 +527,14 @@ def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PER
     rows = documents.select(F.monotonically_increasing_id().alias("row"), key.alias("doc_id"), "text")
     entries = rows.mapInArrow(hash_shingles(words, buckets), DEALT)
     marked = entries.groupBy("bucket").applyInArrow(mark_shared(buckets), DEALT)
-    sets = stored(marked.groupBy("bucket").applyInArrow(gather_sets(percent), SET_ROW), "sets")
+    sets = released(marked.groupBy("bucket").applyInArrow(gather_sets(percent), SET_ROW), "sets")
     first = F.min(F.struct("doc_id", "row"))
-    classes = stored(sets.where("digest is not null").groupBy("digest").agg(first.alias("first"), F.count("*").alias("copies")).select(
+    classes = released(sets.where("digest is not null").groupBy("digest").agg(first.alias("first"), F.count("*").alias("copies")).select(
         "digest", F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("rep"), "copies"), "classes")
     reps = sets.where("tokens is not null").join(classes, "digest").where("row = rep")
-    reps = stored(reps.select("rep", "n_shingles", "copies", "tokens"), "reps")
+    reps = released(reps.select("rep", "n_shingles", "copies", "tokens"), "reps")
 
-    found = stored(link_leaves(reps, percent), "found")
+    found = released(link_leaves(reps, percent), "found")
     component = components(found.where("n = 0").select("a", "b"))
     links = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     grouped = classes.join(component, F.col("rep") == component.node).select("digest", "first_id", "component")
@@ -491,26 +562,25 @@ def link_leaves(reps: DataFrame, percent: int) -> DataFrame:
     """``a, b, n``: links of a spanning forest (n = 0) and partial counts of linked documents (a = b)."""
     spark = reps.sparkSession
     heavy = spark.sparkContext.broadcast(heavy_tokens(reps).tobytes())
-    prefix = stored(reps.select("rep", "n_shingles", "tokens").mapInArrow(prefixes(percent, heavy), "rep long, token long, leaf_key long"), "prefixes")
+    prefix = released(reps.select("rep", "n_shingles", "tokens").mapInArrow(prefixes(percent, heavy), "rep long, token long, leaf_key long"), "prefixes")
+    # sets of one class are alike enough in size to link; a leaf of all sizes would face most others
+    like = (F.floor(F.log(100 / percent, "n_shingles")) if percent < 100 else F.col("n_shingles")).alias("like")
     keyed = prefix.where("token = leaf_key").select("rep", "leaf_key").join(
-        reps.select("rep", (F.length("tokens") / 8).alias("size")), "rep")
-    weight = keyed.groupBy("leaf_key").agg(
+        reps.select("rep", like, (F.length("tokens") / 8).alias("size")), "rep")
+    weight = keyed.groupBy("leaf_key", "like").agg(
         F.greatest(F.ceil(F.count("*") / LEAF_ROWS), F.ceil(F.sum("size") / LEAF_TOKENS)).alias("chunks"))
-    leaf_of = stored(keyed.join(weight, "leaf_key").select(
-        "rep", F.xxhash64("leaf_key", F.pmod(F.xxhash64("rep"), "chunks")).alias("leaf")), "leaf-of")
+    leaf_of = released(keyed.join(weight, ["leaf_key", "like"]).select(
+        "rep", F.xxhash64("leaf_key", "like", F.pmod(F.xxhash64("rep"), "chunks")).alias("leaf")), "leaf-of")
     leaves = reps.join(leaf_of, "rep").groupBy("leaf").applyInArrow(
-        pack_leaf, "leaf long, ids binary, sizes binary, copies binary, lengths binary, tokens binary")
-    leaves = stored(leaves, "leaves")
-    holds = stored(prefix.join(leaf_of, "rep").select("token", "leaf").distinct(), "token-leaves")
+        pack_leaf, "leaf long, ids binary, sizes binary, copies binary, lengths binary, tokens binary, bytes long")
+    leaves = released(leaves, "leaves")
+    holds = released(prefix.join(leaf_of, "rep").select("token", "leaf").distinct(), "token-leaves")
     pairs = leaf_cells(holds).mapInArrow(pairs_of_cells, "a long, b long").distinct()
-    nodes = stored(leaves.mapInArrow(leaf_nodes, NODE), "nodes")
+    nodes = released(leaves.mapInArrow(leaf_nodes, NODE), "nodes")
     node_of = lambda side: nodes.select(F.col("leaf").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in nodes.columns[1:]])
     facing = pairs.join(node_of("a"), "a").join(node_of("b"), "b")
     facing = facing.select("a", "b", *[f"a_{c}" for c in nodes.columns[1:]], *[f"b_{c}" for c in nodes.columns[1:]])
-    pairs = facing.mapInArrow(prune_pairs(percent), "a long, b long")
-    names = ["ids", "sizes", "copies", "lengths", "tokens"]
-    leaf_as = lambda side: leaves.select(F.col("leaf").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in names])
-    both = pairs.join(leaf_as("a"), "a").join(leaf_as("b"), "b").select(*[f"a_{c}" for c in names], *[f"b_{c}" for c in names])
-    found = "a long, b long, n long"
-    alone = leaves.where(F.length("ids") > 8).select(*names).mapInArrow(join_leaves(percent), found)
-    return both.mapInArrow(join_leaves(percent), found).union(alone)
+    pairs = released(facing.mapInArrow(prune_pairs(percent), "a long, b long"), "leaf-pairs")
+    cells = pair_cells(pairs, leaves.select("leaf", "bytes")).join(leaves.drop("bytes"), "leaf")
+    between = cells.groupBy("cell_a", "cell_b").applyInArrow(join_cell(percent), FOUND)
+    return between.union(leaves.where(F.length("ids") > 8).select(*LEAF).mapInArrow(join_within(percent), FOUND))

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartouche.llm import katz, signature_tree
+from cartouche.llm.graph import stored
 from cartouche.llm.signature_tree import jaccard_classes
 from cartouche.llm.substrings import remove_repeats
 
@@ -98,6 +100,41 @@ def test_no_task_holds_all_leaves_of_a_token(spark, monkeypatch):
     assert sorted(got) == sorted({(a, b) for many in leaves.values() for a in many for b in many if a < b})
 
 
+def shuffle_files(spark):
+    return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+
+
+def test_shuffles_go_with_their_table(spark):
+    rows = [(i, " ".join(f"w{(i // 4, j)}".replace(" ", "") for j in range(40)) + f" end{i}") for i in range(200)]
+    before = shuffle_files(spark)
+    found = jaccard_classes(frame(spark, rows))
+    deadline = time.monotonic() + 20  # files are removed in the background
+    while shuffle_files(spark) - before > 20 and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert shuffle_files(spark) - before <= 20
+    assert found.where("n_links = 3").count() == 200
+
+
+def test_leaves_are_sent_once_for_each_block(spark):
+    near, star = range(1, 201), range(1001, 1401)
+    pairs = [(a, b) for a in near for b in near if a < b] + [(7, 2000)] + [(x, 5000) for x in star]
+    frame_of = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    leaves = spark.createDataFrame([(x, 1000) for x in {x for pair in pairs for x in pair}], "leaf long, bytes long")
+    cells = signature_tree.pair_cells(frame_of, leaves).collect()
+    assert sorted((min(r.leaf, o), max(r.leaf, o)) for r in cells for o in r.others) == sorted(pairs)
+    assert len({(r.cell_a, r.cell_b, r.leaf) for r in cells}) == len(cells)
+    assert sum(r.leaf <= 200 for r in cells) < 200 * 12 and sum(r.leaf == 5000 for r in cells) < 30  # of 199 and 400 pairs
+
+
+def test_leaves_hold_sets_of_like_size(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(signature_tree, "released", lambda frame, name: kept.setdefault(name, stored(frame, name)))
+    rows = [(n, " ".join(f"c{j}" for j in range(n))) for n in range(20, 400, 5)]
+    jaccard_classes(frame(spark, rows)).collect()
+    nodes = kept["nodes"].collect()
+    assert max(r.high for r in nodes) > 390 and all(100 * r.low >= 75 * r.high for r in nodes)
+
+
 def test_pairs_are_sent_on_in_parts(monkeypatch):
     import pyarrow as pa
 
