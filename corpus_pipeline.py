@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartouche.llm.exchange import NO_ID
+from cartouche.llm.graph import released
 from cartouche.llm.katz import remainder
 from cartouche.llm.packing import pack_documents
 from cartouche.llm.personal import mask_personal
@@ -42,9 +44,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Groups without any id keep every distinct text.
     """
     ship(spark)
-    kept = jaccard_classes(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept"))).drop("__kept")
-    copy = F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("__key")
+    kept = released(jaccard_classes(docs).where("doc_id <=> component_id").select(key).distinct(), "kept")
+    # join and window share one shuffle of the texts, by the key
+    found = docs.select("*", key).join(kept, "__key")
+    copy = F.row_number().over(W.partitionBy("__key", F.xxhash64("text")).orderBy(F.lit(0)))
     return found.withColumn("__copy", copy).where("__copy = 1").select(docs.columns)
 
 

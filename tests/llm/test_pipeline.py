@@ -94,3 +94,14 @@ def test_stages(spark, folder):
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 200 and "sequence_id" in out.columns
+
+
+def test_near_duplicates_deal_the_texts_once(spark, folder):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts and the kept ids
